@@ -54,8 +54,9 @@ def clean_text(c: Column, drop_roman: bool = False) -> Column:
     side, the whole text; ``drop_roman`` drops every token that is one.
     """
     spaced = F.translate(F.lower(c), PUNCTUATION, " " * len(PUNCTUATION))
-    words = F.filter(F.split(spaced, " "), lambda w: ~w.rlike(rf"^[{WHITESPACE}]*$"))
-    ascii_only = F.regexp_replace(F.array_join(words, " "), NON_PRINTABLE, "")
+    no_blank_tokens = F.regexp_replace(spaced, rf"(?<![^ ])[{WHITESPACE}&&[^ ]]+(?![^ ])", "")
+    single_spaced = F.trim(F.regexp_replace(no_blank_tokens, " {2,}", " "))
+    ascii_only = F.regexp_replace(single_spaced, NON_PRINTABLE, "")
     if drop_roman:
         kept = F.filter(F.split(ascii_only, " "), lambda w: ~w.isin(ROMAN_NUMERALS))
         ascii_only = F.array_join(kept, " ")
@@ -63,7 +64,7 @@ def clean_text(c: Column, drop_roman: bool = False) -> Column:
         whole = [f" {numeral} " for numeral in ROMAN_NUMERALS]
         ascii_only = F.when(ascii_only.isin(whole), F.lit("")).otherwise(ascii_only)
     trimmed = F.regexp_replace(ascii_only, r"^[\s\x0B]+|[\s\x0B]+$", "")
-    return F.regexp_replace(trimmed, " +", " ")
+    return F.regexp_replace(trimmed, " {2,}", " ")
 
 
 def strip_numbers_and_symbols(c: Column) -> Column:

@@ -1,5 +1,8 @@
 """Balanced token chunks of long texts.
 
+Rows are multiplied with the outer forms of explode: the inner forms make the
+optimizer add a not-empty filter that evaluates the exploded expression again.
+
 Everything happens inside the row that holds the text, so chunking never
 shuffles. A text of ``n`` tokens gets ``ceil(n / max_length)`` chunks whose sizes
 differ by at most one, the larger ones first.
@@ -67,7 +70,7 @@ def chunk_plan(docs: DataFrame, row_id: str, n_tokens: str, max_length: int = MA
     return (
         docs.select(row_id, F.col(n_tokens).cast("bigint").alias("n_tokens"))
         .withColumn("n_chunks", chunk_count(n, max_length))
-        .withColumn("chunk_ix", F.explode(_chunk_numbers()))
+        .withColumn("chunk_ix", F.explode_outer(_chunk_numbers()))
         .select(
             row_id,
             "chunk_ix",
@@ -93,7 +96,7 @@ def chunk_text(docs: DataFrame, row_id: str, text: str, max_length: int = MAX_LE
     texts = tokenised(docs, row_id, text, max_length).select(
         row_id, F.transform(_chunk_numbers(), joined).alias("texts")
     )
-    exploded = texts.select(row_id, F.posexplode("texts").alias("chunk_ix", "chunk_text"))
+    exploded = texts.select(row_id, F.posexplode_outer("texts").alias("chunk_ix", "chunk_text"))
     return exploded.withColumn("chunk_ix", F.col("chunk_ix").cast("bigint"))
 
 

@@ -1,26 +1,32 @@
 """Exact nearest neighbours of many queries at once.
 
-Queries and candidates are hashed into blocks of bounded size and every pair of
-blocks is one group of one shuffle. A group does a matrix product and hands on
-only its best ``k`` per query; a ranked window merges those. No pair of rows is
-ever a row of its own, and no group grows with the data.
+A matrix product scores a block of queries against a block of candidates and
+hands on only the best ``k`` per query; a ranked window merges those. No pair of
+rows is ever a row of its own, and no block grows with the data.
+
+Few queries (by their measured size) are broadcast and the candidates stay where
+they are. Otherwise both sides are hashed into blocks of bounded size and every
+pair of blocks is one group of one shuffle.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from talkatlas.operators.ranking import top_per_group
 
 BLOCK_ROWS = 8192
 BLOCK_BYTES = 64 * 1024 * 1024
 STRIP_CELLS = 4_000_000
+BROADCAST_BYTES = 16 * 1024 * 1024
 DIGITS = 6
 
 
@@ -72,6 +78,32 @@ def _best(scores: np.ndarray, blocked: np.ndarray, k: int) -> tuple[np.ndarray,
     return rows[keep], cols[keep]
 
 
+def _local_best(
+    left: pa.Table, right: pa.Table, k: int, dim: int, metric: str, exclude: str | None, carried: tuple[list, list],
+    schema: pa.Schema,
+) -> pa.Table:
+    """Best ``k`` rows of ``right`` for every row of ``left``."""
+    right = right.sort_by("_id")
+    qm, cm = _matrix(left["_vector"], dim), _matrix(right["_vector"], dim)
+    if metric == "cosine":
+        qm, cm = _unit_rows(qm), _unit_rows(cm)
+    c_ids = right["_id"].to_numpy()
+    strip = max(1, STRIP_CELLS // max(1, len(cm)))
+    pieces = []
+    for at in range(0, len(qm), strip) if len(cm) else []:
+        part = left.slice(at, strip)
+        scores = _scores(qm[at : at + strip], cm, metric)
+        blocked = part["_id"].to_numpy()[:, None] == c_ids[None, :]
+        if exclude is not None:
+            blocked |= part[f"_q_{exclude}"].to_numpy()[:, None] == right[f"_c_{exclude}"].to_numpy()[None, :]
+        rows, cols = _best(scores, blocked, k)
+        mine, theirs = part.take(pa.array(rows)), right.take(pa.array(cols))
+        found = scores[rows, cols] if metric == "cosine" else -scores[rows, cols] + 0.0
+        columns = [mine["_id"], *(mine[c] for c in carried[0]), theirs["_id"], *(theirs[c] for c in carried[1])]
+        pieces.append(pa.table([*columns, pa.array(found)], schema=schema))
+    return pa.concat_tables(pieces) if pieces else schema.empty_table()
+
+
 def nearest(
     queries: DataFrame,
     candidates: DataFrame,
@@ -85,76 +117,85 @@ def nearest(
     query_columns: tuple[str, ...] = (),
     columns: tuple[str, ...] = (),
     block_rows: int | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """The ``k`` nearest candidates of every query, exactly.
 
     A query never meets the row with its own id. ``exclude`` names a column that
     must differ as well (a cross-validation fold). Scores are rounded to six
-    digits before ranking; ties go to the smaller id. The result has
-    ``query_<id>``, ``query_<column>...``, ``<id>``, ``<column>...``, ``score``
-    and ``rank``; for ``euclidean`` the score is the distance.
+    digits before ranking; ties go to the smaller id. Rows whose vector does not
+    have ``dim`` values take no part. The result has ``query_<id>``,
+    ``query_<column>...``, ``<id>``, ``<column>...``, ``score`` and ``rank``; for
+    ``euclidean`` the score is the distance.
     """
     if metric not in ("cosine", "euclidean"):
         raise ValueError(f"unknown metric {metric}")
     shared = [] if exclude is None else [exclude]
-    q_cols = list(dict.fromkeys([*query_columns, *shared]))
-    c_cols = list(dict.fromkeys([*columns, *shared]))
-    n_queries, n_candidates = queries.count(), candidates.count()
-    if block_rows is None:
-        parallelism = queries.sparkSession.sparkContext.defaultParallelism
-        block_rows = _block_rows(dim, max(n_queries, n_candidates), parallelism)
-    q_blocks, c_blocks = _blocks(n_queries, block_rows), _blocks(n_candidates, block_rows)
-
     valid = F.size(vector) == dim
-    q = queries.where(valid).select(
-        F.col(row_id).alias("_id"),
-        F.col(vector).alias("_vector"),
-        *q_cols,
-        _block_of(row_id, q_blocks).alias("_qb"),
-        F.explode(F.sequence(F.lit(0), F.lit(c_blocks - 1))).alias("_cb"),
+
+    def side(df: DataFrame, prefix: str, names: tuple[str, ...]) -> DataFrame:
+        carried = [F.col(c).alias(f"{prefix}{c}") for c in dict.fromkeys([*names, *shared])]
+        vectors = F.col(vector).cast("array<double>").alias("_vector")
+        return df.where(valid).select(F.col(row_id).alias("_id"), vectors, *carried)
+
+    q, c = side(queries, "_q_", query_columns), side(candidates, "_c_", columns)
+    out = [(f"query_{row_id}", queries.schema[row_id])]
+    out += [(f"query_{name}", queries.schema[name]) for name in query_columns]
+    out += [(row_id, candidates.schema[row_id]), *((name, candidates.schema[name]) for name in columns)]
+    schema = T.StructType([T.StructField(name, f.dataType) for name, f in out] + [T.StructField("score", T.DoubleType())])
+    arrow_schema = to_arrow_schema(schema)
+    carried = [f"_q_{name}" for name in query_columns], [f"_c_{name}" for name in columns]
+
+    n_queries = q.count()
+    if n_queries * (dim + len(out)) * 8 <= broadcast_bytes:
+        local = _against_broadcast(q, c, k, dim, metric, exclude, carried, schema, arrow_schema)
+    else:
+        if block_rows is None:
+            parallelism = queries.sparkSession.sparkContext.defaultParallelism
+            block_rows = _block_rows(dim, max(n_queries, c.count()), parallelism)
+        local = _tiled(
+            q, c, _blocks(n_queries, block_rows), _blocks(c.count(), block_rows), k, dim, metric, exclude, carried,
+            schema, arrow_schema,
+        )
+    nearer = F.asc("score") if metric == "euclidean" else F.desc("score")
+    return top_per_group(local, [f"query_{row_id}"], [nearer, F.asc(row_id)], k)
+
+
+def _against_broadcast(q, c, k, dim, metric, exclude, carried, schema, arrow_schema) -> DataFrame:
+    """Candidates stay in their partitions; each meets the broadcast queries."""
+    shared_queries = q.sparkSession.sparkContext.broadcast(q.toArrow())
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block: list[pa.RecordBatch] = []
+        rows = 0
+
+        def scored() -> Iterator[pa.RecordBatch]:
+            right = pa.Table.from_batches(block)
+            best = _local_best(shared_queries.value, right, k, dim, metric, exclude, carried, arrow_schema)
+            yield from best.to_batches()
+
+        for batch in batches:
+            block.append(batch)
+            rows += batch.num_rows
+            if rows >= BLOCK_ROWS:
+                yield from scored()
+                block, rows = [], 0
+        if rows:
+            yield from scored()
+
+    return c.mapInArrow(scan, schema)
+
+
+def _tiled(q, c, q_blocks, c_blocks, k, dim, metric, exclude, carried, schema, arrow_schema) -> DataFrame:
+    """Every block of queries meets every block of candidates in a group of its own."""
+    q = q.withColumn("_qb", _block_of("_id", q_blocks)).withColumn(
+        "_cb", F.explode(F.sequence(F.lit(0), F.lit(c_blocks - 1)))
     )
-    c = candidates.where(valid).select(
-        F.col(row_id).alias("_id"),
-        F.col(vector).alias("_vector"),
-        *c_cols,
-        _block_of(row_id, c_blocks).alias("_cb"),
-        F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))).alias("_qb"),
+    c = c.withColumn("_cb", _block_of("_id", c_blocks)).withColumn(
+        "_qb", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1)))
     )
 
-    id_type = queries.schema[row_id].dataType
-    fields = [T.StructField(f"query_{row_id}", id_type)]
-    fields += [T.StructField(f"query_{name}", queries.schema[name].dataType) for name in query_columns]
-    fields += [T.StructField(row_id, candidates.schema[row_id].dataType)]
-    fields += [T.StructField(name, candidates.schema[name].dataType) for name in columns]
-    schema = T.StructType([*fields, T.StructField("score", T.DoubleType())])
-    names = schema.fieldNames()
-
     def tile(left: pa.Table, right: pa.Table) -> pa.Table:
-        right = right.sort_by("_id")
-        qm, cm = _matrix(left["_vector"], dim), _matrix(right["_vector"], dim)
-        if metric == "cosine":
-            qm, cm = _unit_rows(qm), _unit_rows(cm)
-        c_ids = right["_id"].to_numpy()
-        strip = max(1, STRIP_CELLS // max(1, len(cm)))
-        pieces = []
-        for at in range(0, len(qm), strip) if len(cm) else []:
-            part = left.slice(at, strip)
-            scores = _scores(qm[at : at + strip], cm, metric)
-            blocked = part["_id"].to_numpy()[:, None] == c_ids[None, :]
-            if exclude is not None:
-                blocked |= part[exclude].to_numpy()[:, None] == right[exclude].to_numpy()[None, :]
-            rows, cols = _best(scores, blocked, k)
-            mine, theirs = part.take(pa.array(rows)), right.take(pa.array(cols))
-            found = scores[rows, cols] if metric == "cosine" else -scores[rows, cols] + 0.0
-            out = [mine["_id"], *(mine[n] for n in query_columns), theirs["_id"], *(theirs[n] for n in columns)]
-            pieces.append(pa.table([*out, pa.array(found)], names=names))
-        return pa.concat_tables(pieces) if pieces else _empty(left, right)
-
-    def _empty(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = [left["_id"], *(left[n] for n in query_columns), right["_id"], *(right[n] for n in columns)]
-        arrays = [pa.array([], type=col.type) for col in out]
-        return pa.table([*arrays, pa.array([], type=pa.float64())], names=names)
-
-    local = q.groupBy("_qb", "_cb").cogroup(c.groupBy("_qb", "_cb")).applyInArrow(tile, schema)
-    nearer = F.asc("score") if metric == "euclidean" else F.desc("score")
-    return top_per_group(local, [f"query_{row_id}"], [nearer, F.asc(row_id)], k)
+        return _local_best(left, right, k, dim, metric, exclude, carried, arrow_schema)
+
+    return q.groupBy("_qb", "_cb").cogroup(c.groupBy("_qb", "_cb")).applyInArrow(tile, schema)

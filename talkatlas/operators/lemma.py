@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from talkatlas.functions import text as T
 from talkatlas.operators.skew import skew_join
+from talkatlas.session import cut
 
 
 def lemmatise(
@@ -16,18 +17,22 @@ def lemmatise(
 
     ``lemmas`` has one ``(token, lemma)`` row per token. Each distinct word of a
     row is looked up once, with all its positions; common words do not pile up
-    because :func:`skew_join` keeps them out of the shuffle.
+    because :func:`skew_join` keeps them out of the shuffle. A text without words
+    stays as one row without a token.
     """
-    listed = docs.select(row_id, F.posexplode(T.words(F.col(text))).alias("position", "token"))
-    places = listed.groupBy(row_id, "token").agg(F.collect_list("position").alias("positions"))
+    words = docs.where(F.col(text).isNotNull()).select(row_id, text).repartition(row_id)
+    listed = words.select(row_id, F.posexplode_outer(T.words(F.col(text))).alias("position", "token"))
+    places = cut(listed.groupBy(row_id, "token").agg(F.collect_list("position").alias("positions")))
     looked_up = skew_join(places, lemmas, "token", "left")
-    kept = looked_up.where(~F.col("token").isin(stop_words)).select(
-        row_id, F.explode("positions").alias("position"), F.coalesce("lemma", "token").alias("word")
+    word = F.when(~F.col("token").isin(stop_words), F.coalesce("lemma", "token"))
+    placed = F.transform("positions", lambda p: F.struct(p.alias("position"), F.col("word")))
+    return (
+        looked_up.select(row_id, "positions", word.alias("word"))
+        .select(row_id, F.when(F.col("word").isNotNull(), placed).alias("placed"))
+        .groupBy(row_id)
+        .agg(F.array_sort(F.flatten(F.collect_list("placed"))).alias("placed"))
+        .select(row_id, F.array_join(F.transform("placed", lambda p: p["word"]), " ").alias(out))
     )
-    in_order = F.array_sort(F.collect_list(F.struct("position", "word")))
-    joined = kept.groupBy(row_id).agg(F.array_join(F.transform(in_order, lambda p: p["word"]), " ").alias(out))
-    present = docs.where(F.col(text).isNotNull()).select(row_id)
-    return present.join(joined, row_id, "left").withColumn(out, F.coalesce(F.col(out), F.lit("")))
 
 
 def preprocess_column(
@@ -42,8 +47,7 @@ def preprocess_column(
     kept = df.dropna(subset=[column])
     cleaned = kept.withColumn(out, T.clean_text(F.col(column)))
     if lemmas is not None:
-        lemmatised = lemmatise(cleaned, row_id, out, lemmas, stop_words or [], out)
-        cleaned = kept.join(lemmatised, row_id)
+        cleaned = kept.join(lemmatise(cleaned, row_id, out, lemmas, stop_words or [], out), row_id)
     if stop_words is not None:
         cleaned = cleaned.withColumn(out, T.remove_stop_words(F.col(out), stop_words))
     return cleaned

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from talkatlas.operators.ranking import global_rank
+from talkatlas.session import cut
 
 
 def column_profile(df: DataFrame, columns: list[str], long_text: tuple[str, ...] = ()) -> DataFrame:
@@ -84,4 +85,5 @@ def number_stats(df: DataFrame, column: str) -> DataFrame:
 
 def rank_curve(df: DataFrame, row_id: str, value: str) -> DataFrame:
     """Values from largest to smallest with their position, ties by id."""
-    return global_rank(df.select(row_id, value), [F.desc(value), F.asc(row_id)], "rank")
+    narrow = cut(df.select(row_id, value))  # the sort reads its input twice
+    return global_rank(narrow, [F.desc(value), F.asc(row_id)], "rank")

@@ -18,9 +18,10 @@ def cosine_scores(vectors: DataFrame, query: DataFrame, vector: str) -> DataFram
 
     The query vector and its norm are scalar subqueries, run once.
     """
-    q = query.agg(F.first(vector).alias("v")).select("v", V.l2_norm(F.col("v")).alias("norm"))
-    sim = V.cosine(F.col(vector), q.select("v").scalar(), norm_b=q.select("norm").scalar())
-    return vectors.withColumn("sim", F.round(sim, DIGITS) + F.lit(0.0))
+    q = query.agg(F.first(vector).alias("_v")).select("_v", V.l2_norm(F.col("_v")).alias("_norm"))
+    beside = vectors.withColumns({"_query": q.select("_v").scalar(), "_query_norm": q.select("_norm").scalar()})
+    sim = V.cosine(F.col(vector), F.col("_query"), norm_b=F.col("_query_norm"))
+    return beside.withColumn("sim", F.round(sim, DIGITS) + F.lit(0.0)).drop("_query", "_query_norm")
 
 
 def recommend(vectors: DataFrame, row_id: str, query_id: int, vector: str, k: int = 10) -> DataFrame:

@@ -36,7 +36,8 @@ def span_scores(docs: DataFrame, row_id: str, text: str, max_length: int = MAX_L
     n, chunks = F.col("n_tokens"), F.col("n_chunks")
     placed = (
         tokenised(docs.select(row_id, text).repartition(row_id), row_id, text, max_length)
-        .select(row_id, "n_tokens", "n_chunks", F.posexplode("tokens").alias("position", "term"))
+        .select(row_id, "n_tokens", "n_chunks", F.posexplode_outer("tokens").alias("position", "term"))
+        .where(F.col("term").isNotNull())
         .withColumn("chunk_ix", chunk_of(n, chunks, F.col("position").cast("bigint")))
         .withColumn("span_ix", div(F.col("position") - chunk_start(n, chunks, F.col("chunk_ix")), F.lit(span)))
     )
@@ -55,7 +56,7 @@ def span_scores(docs: DataFrame, row_id: str, text: str, max_length: int = MAX_L
     return (
         weighted.select(*columns)
         .unionByName(others.select(*columns))
-        .select(row_id, "n_chunks", "weight", F.inline("places"))
+        .select(row_id, "n_chunks", "weight", F.inline_outer("places"))
         .groupBy(row_id, "n_chunks", "chunk_ix", "span_ix")
         .agg(F.sum("weight").alias("score"))
     )

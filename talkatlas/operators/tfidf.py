@@ -16,11 +16,12 @@ def term_counts(docs: DataFrame, row_id: str, text: str) -> DataFrame:
     """``(row_id, term, tf)``.
 
     Texts are spread by id first, so the count per document and term needs no
-    further shuffle.
+    further shuffle. The outer explode avoids the not-empty filter that would
+    tokenise every text twice.
     """
     found = F.regexp_extract_all(F.lower(F.col(text)), F.lit(TERM), F.lit(0))
-    terms = docs.select(row_id, text).repartition(row_id).select(row_id, F.explode(found).alias("term"))
-    return terms.groupBy(row_id, "term").agg(F.count(F.lit(1)).alias("tf"))
+    terms = docs.select(row_id, text).repartition(row_id).select(row_id, F.explode_outer(found).alias("term"))
+    return terms.where(F.col("term").isNotNull()).groupBy(row_id, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def document_frequency(counts: DataFrame) -> DataFrame:

@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from talkatlas.session import spread
+
 DIM = 64  # width of the vectors in the embeddings table
 
 
@@ -34,6 +36,11 @@ def transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def spread_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transcripts ahead of work that is heavy per row."""
+    return spread(transcripts(spark, sf_dir))
+
+
 TRANSCRIPTS = """(
   SELECT doc_id, lang || ' ' || n_chars AS title, text AS transcript, source AS playlist_name, lang AS category
   FROM documents)"""
@@ -43,7 +50,7 @@ def partly_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transcripts, NULL where the labels table marks the document as toxic."""
     marks = table(spark, sf_dir, "labels").select("doc_id", "toxic")
     kept = F.when(F.coalesce(F.col("toxic"), F.lit(0)) == 0, F.col("transcript"))
-    return transcripts(spark, sf_dir).join(marks, "doc_id", "left").withColumn("transcript", kept).drop("toxic")
+    return spread_transcripts(spark, sf_dir).join(marks, "doc_id", "left").withColumn("transcript", kept).drop("toxic")
 
 
 PARTLY_MISSING = f"""(

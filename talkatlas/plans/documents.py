@@ -14,7 +14,7 @@ from talkatlas.operators import features as X
 from talkatlas.operators import summarise as Z
 from talkatlas.operators import tfidf as I
 from talkatlas.operators.recommend import recommend_by_terms
-from talkatlas.plans.common import TRANSCRIPTS, Query, transcripts
+from talkatlas.plans.common import TRANSCRIPTS, Query, spread_transcripts
 from talkatlas.plans.tables import TOKENS_SQL, _token_counts
 
 # The categories asked for a TF-IDF recommendation.
@@ -27,21 +27,21 @@ def _rounded(df: DataFrame, column: str) -> DataFrame:
 
 
 def tfidf_l2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(I.tfidf_l2(transcripts(spark, sf_dir), "doc_id", "transcript"), "weight")
+    return _rounded(I.tfidf_l2(spread_transcripts(spark, sf_dir), "doc_id", "transcript"), "weight")
 
 
 def tfidf_unsmoothed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    weights = I.tfidf_unsmoothed(transcripts(spark, sf_dir), "doc_id", "transcript")
+    weights = I.tfidf_unsmoothed(spread_transcripts(spark, sf_dir), "doc_id", "transcript")
     return _rounded(weights, "weight").select("doc_id", "term", "tf", "df", "weight")
 
 
 def recommend_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return recommend_by_terms(transcripts(spark, sf_dir), "doc_id", "transcript", "category", QUERY_CATEGORIES)
+    return recommend_by_terms(spread_transcripts(spark, sf_dir), "doc_id", "transcript", "category", QUERY_CATEGORIES)
 
 
 def _bucket_totals(spark: SparkSession, sf_dir: str, vector: str) -> DataFrame:
     """Sum of a hashed vector per category, in long form."""
-    docs = transcripts(spark, sf_dir)
+    docs = spread_transcripts(spark, sf_dir)
     vectors = X.fit_tfidf(docs, "transcript").transform(docs)
     sums = vectors.groupBy("category").agg(vector_to_array(Summarizer.sum(F.col(vector))).alias("total"))
     return sums.select("category", F.posexplode("total").alias("bucket", "total")).where(F.col("total") != 0)
@@ -60,7 +60,7 @@ def chunk_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chunk_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return K.chunk_text(transcripts(spark, sf_dir), "doc_id", "transcript")
+    return K.chunk_text(spread_transcripts(spark, sf_dir), "doc_id", "transcript")
 
 
 def chunk_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,11 +68,11 @@ def chunk_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def summarise_extractive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Z.summarise(transcripts(spark, sf_dir), "doc_id", "transcript")
+    return Z.summarise(spread_transcripts(spark, sf_dir), "doc_id", "transcript")
 
 
 def summarise_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Z.summarise_sample(transcripts(spark, sf_dir), "doc_id", "transcript", 10)
+    return Z.summarise_sample(spread_transcripts(spark, sf_dir), "doc_id", "transcript", 10)
 
 
 def word_tally_model():
@@ -85,12 +85,12 @@ def word_tally_model():
 
 
 def summarise_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = transcripts(spark, sf_dir)
+    docs = spread_transcripts(spark, sf_dir)
     return Z.summarise_with_model(docs, "doc_id", "transcript", word_tally_model, sep="; ")
 
 
 def summary_cost_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cost = Z.cost_table(transcripts(spark, sf_dir), "doc_id", "transcript")
+    cost = Z.cost_table(spread_transcripts(spark, sf_dir), "doc_id", "transcript")
     return cost.agg(
         F.sum("n_tokens").alias("n_tokens"),
         F.sum("n_chunks").alias("n_chunks"),
@@ -110,13 +110,13 @@ def letter_model():
 
 
 def embed_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = transcripts(spark, sf_dir).select("doc_id", "transcript")
+    docs = spread_transcripts(spark, sf_dir).select("doc_id", "transcript")
     embedded = E.embed_batch(docs, "transcript", letter_model, len(LETTERS)).select("doc_id", F.posexplode("embedding"))
     return embedded.select("doc_id", F.col("pos").cast("bigint").alias("dim"), F.col("col").cast("double").alias("value"))
 
 
 def embed_word2vec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return E.embed_word2vec(transcripts(spark, sf_dir), "doc_id", "transcript", dim=32)
+    return E.embed_word2vec(spread_transcripts(spark, sf_dir), "doc_id", "transcript", dim=32)
 
 
 # --- SQL twins -------------------------------------------------------------------

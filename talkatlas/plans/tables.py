@@ -10,7 +10,7 @@ from talkatlas.functions.sampling import fold, is_train
 from talkatlas.operators import labels as L
 from talkatlas.operators import profile as P
 from talkatlas.operators import split as S
-from talkatlas.plans.common import PARTLY_MISSING, TRANSCRIPTS, Query, partly_missing, table, transcripts
+from talkatlas.plans.common import PARTLY_MISSING, TRANSCRIPTS, Query, partly_missing, spread_transcripts, table, transcripts
 from talkatlas.session import scratch_path
 from talkatlas.sources import files
 
@@ -160,11 +160,11 @@ def playlist_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transcripts(spark, sf_dir).select("doc_id", TX.word_count(F.col("transcript")).alias("n_words"))
+    return spread_transcripts(spark, sf_dir).select("doc_id", TX.word_count(F.col("transcript")).alias("n_words"))
 
 
 def _token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transcripts(spark, sf_dir).select("doc_id", TX.token_count(F.col("transcript")).alias("n_tokens"))
+    return spread_transcripts(spark, sf_dir).select("doc_id", TX.token_count(F.col("transcript")).alias("n_tokens"))
 
 
 WORDS_SQL = r"len(regexp_extract_all(transcript, '[^\s\x0B\x1C-\x1F\x{85}\p{Z}]+'))"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from talkatlas.functions import text as TX
 from talkatlas.operators import lemma
-from talkatlas.plans.common import PARTLY_MISSING, TRANSCRIPTS, Query, partly_missing, transcripts
+from talkatlas.plans.common import PARTLY_MISSING, TRANSCRIPTS, Query, partly_missing, spread_transcripts
 from talkatlas.session import cut
 
 # The stop words of the registered queries, a few per language.
@@ -16,7 +16,7 @@ _STOP_SQL = "[" + ", ".join(f"'{w}'" for w in STOP_WORDS) + "]"
 
 
 def _text(expression: Column, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transcripts(spark, sf_dir).select("doc_id", expression.alias("text"))
+    return spread_transcripts(spark, sf_dir).select("doc_id", expression.alias("text"))
 
 
 def _prefixed(*parts: str | Column) -> Column:
@@ -26,7 +26,7 @@ def _prefixed(*parts: str | Column) -> Column:
 
 def clean_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = TX.missing_if_empty(TX.clean_transcript(F.col("transcript")))
-    return transcripts(spark, sf_dir).select("title", "transcript", "playlist_name", "doc_id").withColumn("transcript", cleaned)
+    return spread_transcripts(spark, sf_dir).select("title", "transcript", "playlist_name", "doc_id").withColumn("transcript", cleaned)
 
 
 def clean_drop_brackets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,19 +66,19 @@ def remove_stop_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _lemma_table(docs: DataFrame, text: str) -> DataFrame:
     """A lemma table from the corpus itself: a word in -s whose stem also occurs."""
-    words = cut(docs.select(F.explode(TX.words(F.col(text))).alias("token")).distinct())
+    words = cut(docs.select(F.explode_outer(TX.words(F.col(text))).alias("token")).dropna().distinct())
     stems = words.select(F.concat("token", F.lit("s")).alias("token"), F.col("token").alias("lemma"))
     return words.where(F.length("token") > 3).join(stems, "token")
 
 
 def lemma_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = transcripts(spark, sf_dir).select("doc_id", TX.clean_text(F.col("transcript")).alias("cleaned"))
+    docs = cut(_text(TX.clean_text(F.col("transcript")), spark, sf_dir).withColumnRenamed("text", "cleaned"))
     return lemma.lemmatise(docs, "doc_id", "cleaned", _lemma_table(docs, "cleaned"), STOP_WORDS)
 
 
 def preprocess_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = partly_missing(spark, sf_dir)
-    cleaned = docs.select(TX.clean_text(F.col("transcript")).alias("cleaned"))
+    cleaned = docs.dropna(subset=["transcript"]).select(TX.clean_text(F.col("transcript")).alias("cleaned"))
     done = lemma.preprocess_column(docs, "doc_id", "transcript", _lemma_table(cleaned, "cleaned"), STOP_WORDS)
     return done.select("doc_id", "title", "processed_value")
 

@@ -51,6 +51,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame, by: str | None = None) -> DataFrame:
+    """Spread a stored table over the cores when it has fewer splits than cores.
+
+    For a table read straight from files, ahead of work that is heavy per row. A
+    large table has splits enough and stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, by) if by else df.repartition(cores)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder once and go on from the written copy.
 
