@@ -9,7 +9,7 @@ from talkatlas.functions import vector as V
 from talkatlas.operators.knn import DIGITS, nearest
 from talkatlas.operators.ranking import top_per_group
 from talkatlas.operators.split import random_row_per_group
-from talkatlas.operators.tfidf import tfidf_l2
+from talkatlas.operators.tfidf import document_frequency, doc_count, idf_smooth, l2_normalise, term_counts, with_document_frequency
 from talkatlas.session import cut
 
 
@@ -60,32 +60,52 @@ def recommend_by_terms(
 ) -> DataFrame:
     """For one random query per listed category, its ``k - 1`` nearest documents by TF-IDF.
 
-    Postings meet only the query terms, whose number is bounded by the listed
-    categories times the terms of one document, and the partial sums per query and
-    document are merged before they are shuffled. Documents that share no term score 0
-    and fill up a short list in id order.
+    One aggregation per document sums the squared weights and, per query, the
+    products with the query's weights. The query weights are broadcast: one row per
+    term of one document per listed category. Documents without any term score 0.
     """
     pool = docs.where(F.col(category).isin(categories))
     queries = cut(random_row_per_group(pool, row_id, category, seed)).select(
         F.col(category).alias("query_category"), F.col(row_id).alias("query_id")
     )
-    weights = cut(tfidf_l2(docs, row_id, text))
-    query_terms = weights.join(
-        F.broadcast(queries), F.col(row_id) == F.col("query_id")
-    ).select("query_category", "query_id", "term", F.col("weight").alias("query_weight"))
-    shared = (
-        weights.join(F.broadcast(query_terms), "term")
-        .groupBy("query_category", "query_id", row_id)
-        .agg(F.sum(F.col("weight") * F.col("query_weight")).alias("sim"))
+    counts = cut(term_counts(docs, row_id, text))
+    freq = cut(document_frequency(counts))
+    weight = F.col("tf") * idf_smooth(doc_count(docs))
+
+    query_counts = counts.join(F.broadcast(queries), F.col(row_id) == F.col("query_id"))
+    query_weights = l2_normalise(
+        freq.join(F.broadcast(query_counts), "term").withColumn("query_weight", weight), "query_id", "query_weight"
+    )
+    names = [f"_q{i}" for i in range(len(categories))]
+    per_query = [
+        F.sum(F.when(F.col("query_category") == c, F.col("query_weight")).otherwise(0.0)).alias(name)
+        for c, name in zip(categories, names)
+    ]
+    query_terms = query_weights.groupBy("term").agg(*per_query)
+
+    weights = with_document_frequency(counts, freq).select(row_id, "term", weight.alias("weight"))
+    products = [F.sum(F.col("weight") * F.coalesce(F.col(name), F.lit(0.0))).alias(name) for name in names]
+    sums = (
+        weights.join(F.broadcast(query_terms), "term", "left")
+        .groupBy(row_id)
+        .agg(F.sum(F.col("weight") * F.col("weight")).alias("_squares"), *products)
     )
-    # At most k - 2 documents with a shared term leave gaps to fill, so the 2k
-    # smallest ids always hold enough documents without one.
-    first_ids = docs.select(row_id).orderBy(row_id).limit(2 * k).agg(F.collect_list(row_id)).scalar()
-    fill = queries.select("query_category", "query_id", F.explode(first_ids).alias(row_id)).withColumn("sim", F.lit(0.0))
+    # Documents without terms rank last, by id. Of these at most k are ever needed,
+    # and the 2k smallest ids hold enough rows that can fill a list of k - 1.
+    first_ids = docs.select(row_id).orderBy(row_id).limit(2 * k)
+    zeros = first_ids.select(row_id, F.lit(1.0).alias("_squares"), *[F.lit(0.0).alias(name) for name in names])
+    similar = [
+        F.struct(F.lit(c).alias("query_category"), (F.col(name) / F.sqrt("_squares")).alias("sim"))
+        for c, name in zip(categories, names)
+    ]
     scored = (
-        shared.unionByName(fill)
+        sums.unionByName(zeros)
+        .select(row_id, F.inline_outer(F.array(*similar)))
+        .withColumn("sim", F.round("sim", DIGITS) + F.lit(0.0))
+        .join(F.broadcast(queries), "query_category")
         .where(F.col(row_id) != F.col("query_id"))
-        .groupBy("query_category", "query_id", row_id)
-        .agg(F.round(F.max("sim"), DIGITS).alias("sim"))
     )
-    return top_per_group(scored, ["query_category", "query_id"], [F.desc("sim"), F.asc(row_id)], k - 1)
+    # A document listed twice is its own row and its zero row; only the better one may stay.
+    best = top_per_group(scored, ["query_category", "query_id"], [F.desc("sim"), F.asc(row_id)], 3 * k, "_place")
+    unique = best.groupBy("query_category", "query_id", row_id).agg(F.max("sim").alias("sim"))
+    return top_per_group(unique, ["query_category", "query_id"], [F.desc("sim"), F.asc(row_id)], k - 1)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.ml.functions import predict_batch_udf
@@ -21,7 +22,7 @@ from talkatlas.operators.chunking import (
     tokenised,
 )
 from talkatlas.operators.split import sample_rows
-from talkatlas.operators.tfidf import doc_count, idf_smooth, l2_normalise, with_document_frequency
+from talkatlas.operators.tfidf import doc_count, idf_smooth, with_document_frequency
 from talkatlas.session import cut
 
 SPAN = 20
@@ -31,34 +32,45 @@ def span_scores(docs: DataFrame, row_id: str, text: str, max_length: int = MAX_L
     """``(row_id, n_chunks, chunk_ix, span_ix, score)``: TF-IDF weight of a span's distinct terms.
 
     The places of a term travel with its count, so the weights need no join back
-    to the tokens. A document's rows all come from its one text.
+    to the tokens. A document's rows all come from its one text. The document's
+    vector length is summed next to the span weights, each term adding its square
+    at its first place only, so it takes a window over spans and not over terms.
     """
     n, chunks = F.col("n_tokens"), F.col("n_chunks")
-    placed = (
+    per_chunk = math.ceil(max_length / span)
+    chunk = chunk_of(n, chunks, F.col("position").cast("bigint"))
+    place = F.col("chunk_ix") * per_chunk + div(
+        F.col("position") - chunk_start(n, chunks, F.col("chunk_ix")), F.lit(span)
+    )
+    counts = cut(
         tokenised(docs.select(row_id, text).repartition(row_id), row_id, text, max_length)
         .select(row_id, "n_tokens", "n_chunks", F.posexplode_outer("tokens").alias("position", "term"))
         .where(F.col("term").isNotNull())
-        .withColumn("chunk_ix", chunk_of(n, chunks, F.col("position").cast("bigint")))
-        .withColumn("span_ix", div(F.col("position") - chunk_start(n, chunks, F.col("chunk_ix")), F.lit(span)))
-    )
-    counts = cut(
-        placed.groupBy(row_id, "n_chunks", "term").agg(
-            F.count(F.lit(1)).alias("tf"), F.collect_set(F.struct("chunk_ix", "span_ix")).alias("places")
-        )
+        .withColumn("chunk_ix", chunk)
+        .groupBy(row_id, "n_chunks", "term")
+        .agg(F.count(F.lit(1)).alias("tf"), F.collect_set(place).alias("places"))
     )
     is_term = F.char_length("term") >= 2
     weighted = with_document_frequency(counts.where(is_term)).withColumn(
         "weight", F.col("tf") * idf_smooth(doc_count(docs))
     )
-    weighted = l2_normalise(weighted, row_id)
     others = counts.where(~is_term).withColumn("weight", F.lit(0.0))
     columns = [row_id, "n_chunks", "places", "weight"]
-    return (
+    squared_once = F.when(F.col("nth") == 0, F.col("weight") * F.col("weight")).otherwise(0.0)
+    sums = (
         weighted.select(*columns)
         .unionByName(others.select(*columns))
-        .select(row_id, "n_chunks", "weight", F.inline_outer("places"))
-        .groupBy(row_id, "n_chunks", "chunk_ix", "span_ix")
-        .agg(F.sum("weight").alias("score"))
+        .select(row_id, "n_chunks", "weight", F.posexplode_outer("places").alias("nth", "place"))
+        .groupBy(row_id, "n_chunks", "place")
+        .agg(F.sum("weight").alias("total"), F.sum(squared_once).alias("squares"))
+    )
+    size = F.sqrt(F.sum("squares").over(Window.partitionBy(row_id)))
+    return sums.select(
+        row_id,
+        "n_chunks",
+        div(F.col("place"), F.lit(per_chunk)).alias("chunk_ix"),
+        (F.col("place") % per_chunk).alias("span_ix"),
+        F.when(size == 0, F.lit(0.0)).otherwise(F.col("total") / size).alias("score"),
     )
 
 

@@ -29,8 +29,9 @@ def document_frequency(counts: DataFrame) -> DataFrame:
     return counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
-def with_document_frequency(counts: DataFrame) -> DataFrame:
-    freq = document_frequency(counts)
+def with_document_frequency(counts: DataFrame, freq: DataFrame | None = None) -> DataFrame:
+    """Attach ``df`` to every row; the frequencies are written once, as four branches read them."""
+    freq = cut(document_frequency(counts)) if freq is None else freq
     return skew_join(counts, freq, "term", freq=freq, n="df")
 
 

@@ -86,7 +86,8 @@ def preprocess_column(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- SQL twins -------------------------------------------------------------------
 
 _WS = r"\s\x0B\x1C-\x1F\x{85}\p{Z}"
-_PUNCT = TX.PUNCTUATION.replace("'", "''")
+# ASCII punctuation without dot and dash.
+_PUNCT = "!\"#$%&''()*+,/:;<=>?@[\\]^_`{|}~"
 _ROMAN = ", ".join(f"'{n}'" for n in TX.ROMAN_NUMERALS)
 _ROMAN_PADDED = ", ".join(f"' {n} '" for n in TX.ROMAN_NUMERALS)
 
@@ -96,7 +97,7 @@ def _clean_transcript_sql(x: str) -> str:
 
 
 def clean_text_sql(x: str, drop_roman: bool = False) -> str:
-    spaced = f"translate(lower({x}), '{_PUNCT}', '{' ' * len(TX.PUNCTUATION)}')"
+    spaced = f"translate(lower({x}), '{_PUNCT}', '{' ' * 30}')"
     words = f"list_filter(string_split({spaced}, ' '), lambda w: NOT regexp_full_match(w, '[{_WS}]*'))"
     ascii_only = rf"regexp_replace(array_to_string({words}, ' '), '[^\x09-\x0D\x20-\x7E]', '', 'g')"
     if drop_roman:
