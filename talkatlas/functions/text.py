@@ -16,7 +16,8 @@ WORD = r"[\p{L}\p{N}_]"
 PUNCTUATION = r"[!-,/:-@\[-`{-~]"
 NOT_LETTER_OR_SPACE = r"[\x00-\x08\x0E-\x1F!-@\[-`{-\x{10FFFF}]"
 NOT_ALPHANUMERIC_OR_BLANK = r"[\x00-\x1F!-/:-@\[-`{-\x{10FFFF}]"
-NON_PRINTABLE = r"[^\x09-\x0D\x20-\x7E]"
+ASCII_BLANKS = " \t\n\x0B\f\r"
+NON_PRINTABLE = r"[\x00-\x08\x0E-\x1F\x7F-\x{10FFFF}]"
 
 # Roman numerals handled by clean_text.
 ROMAN_NUMERALS = ["ii", "iii", "iv", "v", "vi", "vii", "viii", "ix", "x"]
@@ -65,9 +66,9 @@ def clean_text(c: Column, drop_roman: bool = False) -> Column:
         kept = F.filter(F.split(ascii_only, " "), lambda w: ~w.isin(ROMAN_NUMERALS))
         ascii_only = F.array_join(kept, " ")
     else:
-        whole = [f" {numeral} " for numeral in ROMAN_NUMERALS]
-        ascii_only = F.when(ascii_only.isin(whole), F.lit("")).otherwise(ascii_only)
-    trimmed = F.regexp_replace(ascii_only, r"^[\s\x0B]+|[\s\x0B]+$", "")
+        # One pattern and no CASE, which would evaluate the whole chain twice.
+        ascii_only = F.regexp_replace(ascii_only, rf"\A (?:{'|'.join(ROMAN_NUMERALS)}) \z", "")
+    trimmed = F.trim(ascii_only, F.lit(ASCII_BLANKS))
     return F.regexp_replace(trimmed, " {2,}", " ")
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from talkatlas.session import cut
+
 # A key is hot when it holds more than 1/HOT_SHARE of all rows, so there are
 # always fewer than HOT_SHARE hot keys: the bound that makes broadcasting safe.
 HOT_SHARE = 1000
@@ -32,7 +34,7 @@ def skew_join(
     1/share of the rows. NULL keys never reach the shuffle.
     """
     if freq is None:
-        freq = df.groupBy(key).agg(F.count(F.lit(1)).alias(n))
+        freq = cut(df.groupBy(key).agg(F.count(F.lit(1)).alias(n)))  # four branches read it
     hot = hot_keys(freq, key, n, share)
     marked = df.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left")
     aside = F.col("_hot").isNotNull() | F.col(key).isNull()

@@ -20,6 +20,22 @@ def test_same_as_sql(spark, con, sf_dir, name):
     assert oracle.differences(spark, con, sf_dir, QUERIES[name], ORACLE[name]) == []
 
 
+MODELS = {"classify_rf", "classify_svc", "classify_gbt", "grid_results", "embed_word2vec"}
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - MODELS))
+def test_no_plan_has_a_cross_join(spark, sf_dir, name):
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_scans_read_only_the_columns_they_need(spark, sf_dir):
+    plan = QUERIES["doc_lookup"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(doc_id,8)" in plan
+    plan = QUERIES["playlist_title_count"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<lang:string,source:string,n_chars:bigint>" in plan
+
+
 def test_entry(spark):
     rows = entry_points.entry(spark).collect()
     assert len(rows) == 9

@@ -146,6 +146,12 @@ def test_splits_are_complete_and_independent_of_partitions(spark):
     assert S.split_at_row(ids, "id", 0).where("part = 1").count() == 0
 
 
+def test_split_at_a_large_row_uses_a_distributed_sort(spark, monkeypatch):
+    monkeypatch.setattr(S, "TOP_N_ROWS", 10)
+    parts = S.split_at_row(spark.range(500), "id", 123).groupBy("part").agg(F.count("*").alias("n"), F.max("id").alias("m"))
+    assert {r.part: (r.n, r.m) for r in parts.collect()} == {1: (123, 122), 2: (377, 499)}
+
+
 def test_lemmas_keep_order_and_unknown_words(spark):
     docs = spark.createDataFrame([(0, "cats the cats run"), (1, "the"), (2, ""), (3, None)], "id long, s string")
     lemmas = spark.createDataFrame([("cats", "cat"), ("the", "article")], "token string, lemma string")
