@@ -23,18 +23,22 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from talkatlas.operators.ranking import top_per_group
 
-BLOCK_ROWS = 8192
+# Both shuffles of the tiled search, rows in and best rows out, shrink in
+# proportion to the block size, so a block is as large as a task can well hold.
 BLOCK_BYTES = 64 * 1024 * 1024
 STRIP_CELLS = 4_000_000
 BROADCAST_BYTES = 16 * 1024 * 1024
 DIGITS = 6
 
 
+def _full_block(dim: int) -> int:
+    return max(1, BLOCK_BYTES // (max(1, dim) * 8))
+
+
 def _block_rows(dim: int, rows: int, parallelism: int) -> int:
-    """At most BLOCK_ROWS rows and BLOCK_BYTES of doubles; less when that keeps cores busy."""
-    bound = max(1, min(BLOCK_ROWS, BLOCK_BYTES // max(1, dim * 8)))
+    """At most BLOCK_BYTES of doubles; less when that keeps all cores busy."""
     spread = math.ceil(rows / max(1, math.isqrt(parallelism)))
-    return max(1, min(bound, max(256, spread)))
+    return max(1, min(_full_block(dim), max(256, spread)))
 
 
 def _blocks(rows: int, per_block: int) -> int:
@@ -135,8 +139,7 @@ def nearest(
 
     def side(df: DataFrame, prefix: str, names: tuple[str, ...]) -> DataFrame:
         carried = [F.col(c).alias(f"{prefix}{c}") for c in dict.fromkeys([*names, *shared])]
-        vectors = F.col(vector).cast("array<double>").alias("_vector")
-        return df.where(valid).select(F.col(row_id).alias("_id"), vectors, *carried)
+        return df.where(valid).select(F.col(row_id).alias("_id"), F.col(vector).alias("_vector"), *carried)
 
     q, c = side(queries, "_q_", query_columns), side(candidates, "_c_", columns)
     out = [(f"query_{row_id}", queries.schema[row_id])]
@@ -146,8 +149,8 @@ def nearest(
     arrow_schema = to_arrow_schema(schema)
     carried = [f"_q_{name}" for name in query_columns], [f"_c_{name}" for name in columns]
 
-    n_queries = q.count()
-    if n_queries * (dim + len(out)) * 8 <= broadcast_bytes:
+    n_queries, query_bytes = _measure(q, dim)
+    if query_bytes <= broadcast_bytes:
         local = _against_broadcast(q, c, k, dim, metric, exclude, carried, schema, arrow_schema)
     else:
         if block_rows is None:
@@ -161,9 +164,17 @@ def nearest(
     return top_per_group(local, [f"query_{row_id}"], [nearer, F.asc(row_id)], k)
 
 
+def _measure(q: DataFrame, dim: int) -> tuple[int, int]:
+    """Rows of ``q`` and an upper bound of their bytes, carried strings included."""
+    carried = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 8 for c in q.columns if c != "_vector"]
+    n, extra = q.agg(F.count(F.lit(1)), F.coalesce(F.sum(sum(carried, F.lit(0))), F.lit(0))).first()
+    return n, n * dim * 8 + extra
+
+
 def _against_broadcast(q, c, k, dim, metric, exclude, carried, schema, arrow_schema) -> DataFrame:
     """Candidates stay in their partitions; each meets the broadcast queries."""
     shared_queries = q.sparkSession.sparkContext.broadcast(q.toArrow())
+    full_block = _full_block(dim)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block: list[pa.RecordBatch] = []
@@ -177,7 +188,7 @@ def _against_broadcast(q, c, k, dim, metric, exclude, carried, schema, arrow_sch
         for batch in batches:
             block.append(batch)
             rows += batch.num_rows
-            if rows >= BLOCK_ROWS:
+            if rows >= full_block:
                 yield from scored()
                 block, rows = [], 0
         if rows:
