@@ -29,6 +29,9 @@ BLOCK_BYTES = 64 * 1024 * 1024
 STRIP_CELLS = 4_000_000
 BROADCAST_BYTES = 16 * 1024 * 1024
 DIGITS = 6
+ROUNDING = 10.0**-DIGITS
+HEAD_COLUMNS = 4096
+CROWDED = 128
 
 
 def _full_block(dim: int) -> int:
@@ -62,24 +65,39 @@ def _unit_rows(m: np.ndarray) -> np.ndarray:
 def _scores(q: np.ndarray, c: np.ndarray, metric: str) -> np.ndarray:
     """Larger is nearer: the cosine, or the negative distance."""
     if metric == "cosine":
-        return np.round(q @ c.T, DIGITS) + 0.0
+        return q @ c.T
     sq = np.einsum("ij,ij->i", q, q)[:, None] + np.einsum("ij,ij->i", c, c)[None, :] - 2.0 * (q @ c.T)
-    return -np.round(np.sqrt(np.maximum(sq, 0.0)), DIGITS)
+    return -np.sqrt(np.maximum(sq, 0.0))
 
 
-def _best(scores: np.ndarray, blocked: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Row and column numbers of the ``k`` best allowed columns per row; columns are in id order."""
-    scores = np.where(blocked, -np.inf, scores)
-    if scores.shape[1] > k:
-        border = -np.partition(-scores, k - 1, axis=1)[:, k - 1]
-    else:
-        border = np.full(len(scores), -np.inf)
-    rows, cols = np.nonzero((scores >= border[:, None]) & ~blocked)
-    order = np.lexsort((cols, -scores[rows, cols], rows))
-    rows, cols = rows[order], cols[order]
-    starts = np.searchsorted(rows, np.arange(len(scores)))
-    keep = np.arange(len(rows)) - starts[rows] < k
-    return rows[keep], cols[keep]
+def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows, columns and rounded scores of the ``k`` best columns per row.
+
+    Columns are in id order, so ties go to the smaller column. The k-th best of the
+    first columns, less the rounding step, is a border no better column can fall
+    below; it leaves few columns to sort. A row with many ties left is cut without
+    sorting them.
+    """
+    head = min(scores.shape[1], max(HEAD_COLUMNS, k))
+    border = np.full(len(scores), np.finfo(np.float64).min)
+    if head > k:
+        border = np.maximum(border, np.partition(scores[:, :head], head - k, axis=1)[:, head - k] - ROUNDING)
+    above = scores >= border[:, None]
+    crowded = np.flatnonzero(np.count_nonzero(above, axis=1) > CROWDED * k)
+    above[crowded] = False
+    rows, cols = np.nonzero(above)
+    found = np.round(scores[rows, cols], DIGITS) + 0.0
+    order = np.lexsort((cols, -found, rows))
+    rows, cols, found = rows[order], cols[order], found[order]
+    keep = np.arange(len(rows)) - np.searchsorted(rows, rows) < k
+    pieces = [(rows[keep], cols[keep], found[keep])]
+    for row in crowded:
+        rounded = np.round(scores[row], DIGITS) + 0.0
+        kth = np.partition(rounded, len(rounded) - k)[len(rounded) - k]
+        better, equal = np.flatnonzero(rounded > kth), np.flatnonzero(rounded == kth)
+        chosen = np.concatenate([better, equal[: k - len(better)]])
+        pieces.append((np.full(len(chosen), row), chosen, rounded[chosen]))
+    return tuple(np.concatenate(part) for part in zip(*pieces))
 
 
 def _local_best(
@@ -97,14 +115,17 @@ def _local_best(
     for at in range(0, len(qm), strip) if len(cm) else []:
         part = left.slice(at, strip)
         scores = _scores(qm[at : at + strip], cm, metric)
-        blocked = part["_id"].to_numpy()[:, None] == c_ids[None, :]
+        ids = part["_id"].to_numpy()
+        first, last = np.searchsorted(c_ids, ids, "left"), np.searchsorted(c_ids, ids, "right")
+        for row in np.flatnonzero(first < last):
+            scores[row, first[row] : last[row]] = -np.inf
         if exclude is not None:
-            blocked |= part[f"_q_{exclude}"].to_numpy()[:, None] == right[f"_c_{exclude}"].to_numpy()[None, :]
-        rows, cols = _best(scores, blocked, k)
+            scores[part[f"_q_{exclude}"].to_numpy()[:, None] == right[f"_c_{exclude}"].to_numpy()[None, :]] = -np.inf
+        rows, cols, found = _best(scores, k)
         mine, theirs = part.take(pa.array(rows)), right.take(pa.array(cols))
-        found = scores[rows, cols] if metric == "cosine" else -scores[rows, cols] + 0.0
+        values = found if metric == "cosine" else -found + 0.0
         columns = [mine["_id"], *(mine[c] for c in carried[0]), theirs["_id"], *(theirs[c] for c in carried[1])]
-        pieces.append(pa.table([*columns, pa.array(found)], schema=schema))
+        pieces.append(pa.table([*columns, pa.array(values)], schema=schema))
     return pa.concat_tables(pieces) if pieces else schema.empty_table()
 
 

@@ -117,7 +117,7 @@ def separable(spark):
     "kind, grid",
     [
         ("random_forest", {"numTrees": [10, 20], "maxDepth": [5]}),
-        ("linear_svc", {"tol": [1e-1], "C": [0.1, 1.0]}),
+        ("linear_svc", {"tol": [1e-1], "C": [0.1, 1.0], "maxIter": [10]}),
         ("boosted_trees", {"maxIter": [2], "maxDepth": [2, 3]}),
     ],
 )

@@ -65,7 +65,7 @@ def test_word2vec_embeds_every_document(spark, sf_dir):
     assert all(len(r.embedding) == 32 for r in rows)
 
 
-@pytest.mark.parametrize("name", ["classify_rf", "classify_gbt"])
+@pytest.mark.parametrize("name", ["classify_rf", "classify_svc", "classify_gbt"])
 def test_classifiers_beat_the_majority_class(spark, sf_dir, name):
     rows = QUERIES[name](spark, sf_dir).collect()
     labels = [r.label for r in rows]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from talkatlas.functions import vector as V
 from talkatlas.operators import classify as C
 from talkatlas.operators import embed as E
+from talkatlas.operators import knn
 from talkatlas.operators import recommend as R
 from talkatlas.operators.knn import nearest
 from talkatlas.sources.vectors import last_per_title
@@ -152,3 +153,21 @@ def test_knn_on_a_separable_table(spark):
     assert sorted((r.k, r.metric, r.avg_metric) for r in grid.collect()) == sorted(
         (k, m, 1.0) for k in (5, 10, 15) for m in ("cosine", "euclidean")
     )
+
+
+def test_best_columns_equal_a_full_sort(monkeypatch):
+    rng = np.random.default_rng(0)
+    for _ in range(200):
+        rows, cols, k = int(rng.integers(1, 8)), int(rng.integers(1, 60)), int(rng.integers(1, 12))
+        monkeypatch.setattr(knn, "HEAD_COLUMNS", int(rng.integers(1, 20)))
+        monkeypatch.setattr(knn, "CROWDED", int(rng.integers(1, 3)))
+        scores = np.round(rng.normal(size=(rows, cols)), int(rng.integers(0, 3))) + rng.normal(size=(rows, cols)) * 1e-7
+        scores[rng.random((rows, cols)) < rng.choice([0, 0.2, 0.9])] = -np.inf
+        got: dict[int, set] = {}
+        for r, c, v in zip(*knn._best(scores.copy(), k)):
+            got.setdefault(int(r), set()).add((float(v), int(c)))
+        rounded = np.round(scores, 6) + 0.0
+        for r in range(rows):
+            allowed = [c for c in range(cols) if np.isfinite(rounded[r, c])]
+            best = sorted(allowed, key=lambda c: (-rounded[r, c], c))[:k]
+            assert got.get(r, set()) == {(float(rounded[r, c]), c) for c in best}
