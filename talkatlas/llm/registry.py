@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from talkatlas.llm import simhash
+from talkatlas.llm import simhash, suffixes
 from talkatlas.llm.tables import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -16,7 +16,12 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_components(table(spark, sf_dir, "documents"))
 
 
+def op5_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.repeated_spans(table(spark, sf_dir, "documents")).drop("digest")
+
+
 QUERIES: dict[str, Run] = {
+    "op5_suffixes": op5_suffixes,
     "op7_simhash": op7_simhash,
 }
 SQL: dict[str, str] = {}
