@@ -4,15 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkatlas.llm import boilerplate, simhash, suffixes
+from talkatlas.llm import boilerplate, packing, simhash, suffixes
 from talkatlas.llm.tables import table
 
+BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 Run = Callable[[SparkSession, str], DataFrame]
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_components(table(spark, sf_dir, "documents"))
 
@@ -54,6 +60,7 @@ FROM t LEFT JOIN gone USING (doc_id)
 
 QUERIES: dict[str, Run] = {
     "op5_suffixes": op5_suffixes,
+    "op6_packing": op6_packing,
     "op7_simhash": op7_simhash,
     "op9_boilerplate": op9_boilerplate,
 }
