@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkatlas.llm import boilerplate, packing, simhash, suffixes
+from talkatlas.llm import boilerplate, packing, quality, simhash, suffixes
 from talkatlas.llm.tables import table
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -23,6 +23,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_components(table(spark, sf_dir, "documents"))
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.repeated_spans(table(spark, sf_dir, "documents")).drop("digest")
 
@@ -59,6 +63,7 @@ FROM t LEFT JOIN gone USING (doc_id)
 
 
 QUERIES: dict[str, Run] = {
+    "op1_quality": op1_quality,
     "op5_suffixes": op5_suffixes,
     "op6_packing": op6_packing,
     "op7_simhash": op7_simhash,
