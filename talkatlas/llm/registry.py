@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkatlas.llm import boilerplate, packing, quality, simhash, suffixes
+from talkatlas.llm import boilerplate, language, packing, quality, simhash, suffixes, warc
 from talkatlas.llm.tables import table
+from talkatlas.session import scratch_path
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 Run = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +28,12 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "archives")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    return warc.records(warc.read_chunks(spark, path, with_bytes=False)).drop("record")
+
+
 def op5_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.repeated_spans(table(spark, sf_dir, "documents")).drop("digest")
 
@@ -36,6 +43,10 @@ def op9_boilerplate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 OP9_SQL = r"""
 WITH t AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS first_id, source, string_split(text, chr(10)) AS ls
            FROM documents),
@@ -64,9 +75,11 @@ FROM t LEFT JOIN gone USING (doc_id)
 
 QUERIES: dict[str, Run] = {
     "op1_quality": op1_quality,
+    "op2_warc": op2_warc,
     "op5_suffixes": op5_suffixes,
     "op6_packing": op6_packing,
     "op7_simhash": op7_simhash,
+    "op8_language": op8_language,
     "op9_boilerplate": op9_boilerplate,
 }
 SQL: dict[str, str] = {"op9_boilerplate": OP9_SQL}
