@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkatlas.llm import boilerplate, bpe, language, packing, quality, simhash, suffixes, warc
+from talkatlas.llm import boilerplate, bpe, fingerprints, language, packing, quality, simhash, suffixes, warc
 from talkatlas.llm.tables import table
 from talkatlas.session import scratch_path
 
@@ -51,6 +51,10 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 OP9_SQL = r"""
 WITH t AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS first_id, source, string_split(text, chr(10)) AS ls
            FROM documents),
@@ -86,5 +90,6 @@ QUERIES: dict[str, Run] = {
     "op7_simhash": op7_simhash,
     "op8_language": op8_language,
     "op9_boilerplate": op9_boilerplate,
+    "op10_fingerprints": op10_fingerprints,
 }
 SQL: dict[str, str] = {"op9_boilerplate": OP9_SQL}
