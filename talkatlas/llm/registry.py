@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkatlas.llm import boilerplate, bpe, fingerprints, language, packing, quality, simhash, suffixes, warc
+from talkatlas.llm import boilerplate, bpe, embedding, fingerprints, language, packing, quality, simhash, suffixes, warc
 from talkatlas.llm.tables import table
 from talkatlas.session import scratch_path
 
@@ -34,6 +34,10 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.records(warc.read_chunks(spark, path, with_bytes=False)).drop("record")
 
 
+def op3_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), with_ids=False)
 
@@ -84,6 +88,7 @@ FROM t LEFT JOIN gone USING (doc_id)
 QUERIES: dict[str, Run] = {
     "op1_quality": op1_quality,
     "op2_warc": op2_warc,
+    "op3_embedding": op3_embedding,
     "op4_bpe": op4_bpe,
     "op5_suffixes": op5_suffixes,
     "op6_packing": op6_packing,
