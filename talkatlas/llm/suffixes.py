@@ -258,8 +258,9 @@ def _digest(text: str) -> Column:
 def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, digest, start_word, n_words, first_doc_id``: the repeated spans of every document.
 
-    ``first_doc_id`` is the smallest id of a document that holds a window of the span earlier; it is the
-    document itself if only that repeats the passage, and for an exact copy the first copy. ``digest`` tells texts with one id apart.
+    ``first_doc_id`` is the smallest id of a document that holds a window of the span earlier (for a gram that
+    is dealt to several tasks: of those in one task); it is the document itself if only that repeats the
+    passage, and for an exact copy the first copy. ``digest`` tells texts with one id apart.
     """
     rows = docs.where(F.col(doc_id).isNotNull()).select(
         F.col(doc_id).cast("long").alias("doc_id"),
