@@ -8,13 +8,19 @@ from corpus import frame, odd_texts, words
 from talkatlas.llm import language
 
 
+VOCABULARY = {
+    name: words(random.Random(name), 250, letters)
+    for name, letters in {"aa": "abcdeio", "bb": "stuvwéü", "cc": "klmnopa"}.items()
+}
+
+
 def labelled(spark):
     rng = random.Random(4)
     texts, langs = odd_texts(rng), []
     langs = [None] * len(texts)
     for k in range(300):
         lang = rng.choice(["aa", "bb", "cc"])
-        texts.append((100 + k, " ".join(words(rng, rng.randint(20, 200), {"aa": "abcdeio", "bb": "stuvwéü", "cc": "klmnopa"}[lang])).upper()))
+        texts.append((100 + k, " ".join(rng.choices(VOCABULARY[lang], k=rng.randint(20, 200))).upper()))
         langs.append(lang)
     return texts, langs, frame(spark, texts, langs)
 
@@ -27,7 +33,10 @@ def test_held_out_accuracy_and_unknown(spark):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows if r.doc_id is not None)
     want = {i: lang for (i, _), lang in zip(texts, langs, strict=True)}
     unseen = [r for r in rows if r.held_out and r.doc_id is not None and r.doc_id >= 100]
-    assert len(unseen) > 40 and all(r.lang_pred == want[r.doc_id] and not r.rejected for r in unseen)
+    right = [r for r in unseen if r.lang_pred == want[r.doc_id]]
+    assert len(unseen) > 40 and len(right) >= 0.95 * len(unseen)
+    assert sum(r.rejected for r in right) <= 0.05 * len(unseen)
+    assert all(r.rejected for r in unseen if r.lang_pred != want[r.doc_id])  # short texts that tie
     no_letter = {i for i, t in texts if not any(map(str.isalpha, t or ""))}
     assert {r.doc_id for r in rows if r.lang_pred == "und"} == no_letter
     assert all(r.score == 0 for r in rows if r.lang_pred == "und")
@@ -45,8 +54,8 @@ def test_mixed_texts_have_narrow_margins(spark):
     _, _, docs = labelled(spark)
     judge = language.Judge(language.dictionaries(docs))
     rng = random.Random(8)
-    half = " ".join(words(rng, 150, "abcdeio") + words(rng, 150, "stuvwéü"))
-    pure = " ".join(words(rng, 300, "abcdeio"))
+    half = " ".join(rng.choices(VOCABULARY["aa"], k=150) + rng.choices(VOCABULARY["bb"], k=150))
+    pure = " ".join(rng.choices(VOCABULARY["aa"], k=300))
     assert judge(half)[2] < judge(pure)[2]
     assert judge(pure * 400)[0] == "aa"
 
