@@ -36,5 +36,11 @@ def text_to_vector(c: Column) -> Column:
     return F.transform(F.split(inside, ","), lambda x: x.try_cast("float"))
 
 
+def all_finite(v: Column) -> Column:
+    """Whether an array holds neither NULL nor NaN nor an infinite value; NULL for no array."""
+    return ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+
+
 def is_vector(v: Column, dim: int) -> Column:
-    return (F.size(v) == dim) & ~F.exists(v, lambda x: x.isNull())
+    """Whether ``v`` has ``dim`` finite values; false for NULL."""
+    return F.coalesce((F.size(v) == dim) & all_finite(v), F.lit(False))

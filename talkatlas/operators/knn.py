@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from talkatlas.functions.vector import is_vector
 from talkatlas.operators.ranking import top_per_group
 
 # Both shuffles of the tiled search, rows in and best rows out, shrink in
@@ -142,21 +143,26 @@ def nearest(
     query_columns: tuple[str, ...] = (),
     columns: tuple[str, ...] = (),
     block_rows: int | None = None,
+    strategy: str = "measured",
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """The ``k`` nearest candidates of every query, exactly.
 
     A query never meets the row with its own id. ``exclude`` names a column that
     must differ as well (a cross-validation fold). Scores are rounded to six
-    digits before ranking; ties go to the smaller id. Rows whose vector does not
-    have ``dim`` values take no part. The result has ``query_<id>``,
+    digits before ranking; ties go to the smaller id. Rows take no part, as
+    queries or as candidates, if their id is NULL or their vector does not have
+    ``dim`` finite values. ``strategy`` is ``broadcast`` for the queries, ``tiled``, or
+    ``measured``: broadcast up to ``broadcast_bytes``. All give the same rows. The result has ``query_<id>``,
     ``query_<column>...``, ``<id>``, ``<column>...``, ``score`` and ``rank``; for
     ``euclidean`` the score is the distance.
     """
     if metric not in ("cosine", "euclidean"):
         raise ValueError(f"unknown metric {metric}")
+    if strategy not in ("measured", "broadcast", "tiled"):
+        raise ValueError(f"unknown strategy {strategy}")
     shared = [] if exclude is None else [exclude]
-    valid = F.size(vector) == dim
+    valid = F.col(row_id).isNotNull() & is_vector(F.col(vector), dim)
 
     def side(df: DataFrame, prefix: str, names: tuple[str, ...]) -> DataFrame:
         carried = [F.col(c).alias(f"{prefix}{c}") for c in dict.fromkeys([*names, *shared])]
@@ -171,14 +177,15 @@ def nearest(
     carried = [f"_q_{name}" for name in query_columns], [f"_c_{name}" for name in columns]
 
     n_queries, query_bytes = _measure(q, dim)
-    if query_bytes <= broadcast_bytes:
+    if strategy == "broadcast" or (strategy == "measured" and query_bytes <= broadcast_bytes):
         local = _against_broadcast(q, c, k, dim, metric, exclude, carried, schema, arrow_schema)
     else:
+        n_candidates = c.count()
         if block_rows is None:
             parallelism = queries.sparkSession.sparkContext.defaultParallelism
-            block_rows = _block_rows(dim, max(n_queries, c.count()), parallelism)
+            block_rows = _block_rows(dim, max(n_queries, n_candidates), parallelism)
         local = _tiled(
-            q, c, _blocks(n_queries, block_rows), _blocks(c.count(), block_rows), k, dim, metric, exclude, carried,
+            q, c, _blocks(n_queries, block_rows), _blocks(n_candidates, block_rows), k, dim, metric, exclude, carried,
             schema, arrow_schema,
         )
     nearer = F.asc("score") if metric == "euclidean" else F.desc("score")

@@ -16,8 +16,8 @@ def lemmatise(
     """``(row_id, out)``: words replaced by their lemma, stop words dropped, order kept.
 
     ``lemmas`` has one ``(token, lemma)`` row per token. Each distinct word of a
-    row is looked up once, with all its positions; common words do not pile up
-    because :func:`skew_join` keeps them out of the shuffle. A text without words
+    row is looked up once, with all its positions; common words do not pile up, see
+    :func:`skew_join`. A text without words
     stays as one row without a token.
     """
     words = docs.where(F.col(text).isNotNull()).select(row_id, text).repartition(row_id)

@@ -9,7 +9,7 @@ from talkatlas.functions import vector as V
 from talkatlas.operators.knn import DIGITS, nearest
 from talkatlas.operators.ranking import top_per_group
 from talkatlas.operators.split import random_row_per_group
-from talkatlas.operators.tfidf import document_frequency, doc_count, idf_smooth, l2_normalise, term_counts, with_document_frequency
+from talkatlas.operators.tfidf import doc_count, idf_smooth, l2_normalise, term_counts, with_document_frequency
 from talkatlas.session import cut
 
 
@@ -25,9 +25,16 @@ def cosine_scores(vectors: DataFrame, query: DataFrame, vector: str) -> DataFram
 
 
 def recommend(vectors: DataFrame, row_id: str, query_id: int, vector: str, k: int = 10) -> DataFrame:
-    """The ``k - 1`` rows most similar to row ``query_id``, which is itself left out."""
-    query = vectors.where(F.col(row_id) == query_id)
-    scored = cosine_scores(vectors.where(F.col(row_id) != query_id), query, vector)
+    """The ``k - 1`` rows most similar to row ``query_id``, which is itself left out.
+
+    Rows with a NULL id, and vectors that are NULL, hold a value that is not finite or differ in width
+    from the query's, take no part. An unknown ``query_id`` gives no rows.
+    """
+    sound = vectors.where(V.all_finite(F.col(vector)))
+    query = sound.where(F.col(row_id) == query_id)
+    width = query.agg(F.first(F.size(vector))).scalar()
+    others = sound.where((F.col(row_id) != query_id) & (F.size(vector) == width))
+    scored = cosine_scores(others, query, vector)
     return scored.orderBy(F.desc("sim"), F.asc(row_id)).limit(k - 1)
 
 
@@ -56,53 +63,33 @@ def hit_rate(recommended: DataFrame, category: str) -> DataFrame:
 
 
 def recommend_by_terms(
-    docs: DataFrame, row_id: str, text: str, category: str, categories: list[str], k: int = 10, seed: int = 42
+    docs: DataFrame, row_id: str, text: str, category: str, k: int = 10, seed: int = 42
 ) -> DataFrame:
-    """For one random query per listed category, its ``k - 1`` nearest documents by TF-IDF.
+    """For one random query per category of the data, its ``k - 1`` nearest documents by TF-IDF.
 
-    One aggregation per document sums the squared weights and, per query, the
-    products with the query's weights. The query weights are broadcast: one row per
-    term of one document per listed category. Documents without any term score 0.
+    Queries stay rows: their terms join the term table, and one aggregation per document and
+    query sums the products of weights. Documents that share no term with a query score 0.
     """
-    pool = docs.where(F.col(category).isin(categories))
-    queries = cut(random_row_per_group(pool, row_id, category, seed)).select(
+    queries = cut(random_row_per_group(docs, row_id, category, seed)).select(
         F.col(category).alias("query_category"), F.col(row_id).alias("query_id")
     )
     counts = cut(term_counts(docs, row_id, text))
-    freq = cut(document_frequency(counts))
     weight = F.col("tf") * idf_smooth(doc_count(docs))
-
-    query_counts = counts.join(F.broadcast(queries), F.col(row_id) == F.col("query_id"))
-    query_weights = l2_normalise(
-        freq.join(F.broadcast(query_counts), "term").withColumn("query_weight", weight), "query_id", "query_weight"
-    )
-    names = [f"_q{i}" for i in range(len(categories))]
-    per_query = [
-        F.sum(F.when(F.col("query_category") == c, F.col("query_weight")).otherwise(0.0)).alias(name)
-        for c, name in zip(categories, names)
-    ]
-    query_terms = query_weights.groupBy("term").agg(*per_query)
-
-    weights = with_document_frequency(counts, freq).select(row_id, "term", weight.alias("weight"))
-    products = [F.sum(F.col("weight") * F.coalesce(F.col(name), F.lit(0.0))).alias(name) for name in names]
+    weights = cut(l2_normalise(with_document_frequency(counts).select(row_id, "term", weight.alias("weight")), row_id))
+    asked = weights.withColumnsRenamed({row_id: "query_id", "weight": "query_weight"})
+    terms = cut(asked.join(queries, "query_id").select("query_category", "query_id", "term", "query_weight"))
     sums = (
-        weights.join(F.broadcast(query_terms), "term", "left")
-        .groupBy(row_id)
-        .agg(F.sum(F.col("weight") * F.col("weight")).alias("_squares"), *products)
+        weights.join(terms, "term")
+        .groupBy(row_id, "query_category", "query_id")
+        .agg(F.sum(F.col("weight") * F.col("query_weight")).alias("sim"))
     )
-    # Documents without terms rank last, by id. Of these at most k are ever needed,
+    # Documents without a shared term rank last, by id. Of these at most k are ever needed,
     # and the 2k smallest ids hold enough rows that can fill a list of k - 1.
-    first_ids = docs.select(row_id).orderBy(row_id).limit(2 * k)
-    zeros = first_ids.select(row_id, F.lit(1.0).alias("_squares"), *[F.lit(0.0).alias(name) for name in names])
-    similar = [
-        F.struct(F.lit(c).alias("query_category"), (F.col(name) / F.sqrt("_squares")).alias("sim"))
-        for c, name in zip(categories, names)
-    ]
+    first_ids = docs.select(row_id).orderBy(row_id).limit(2 * k).agg(F.collect_list(row_id)).scalar()
+    zeros = queries.select(F.explode(first_ids).alias(row_id), "query_category", "query_id", F.lit(0.0).alias("sim"))
     scored = (
         sums.unionByName(zeros)
-        .select(row_id, F.inline_outer(F.array(*similar)))
         .withColumn("sim", F.round("sim", DIGITS) + F.lit(0.0))
-        .join(F.broadcast(queries), "query_category")
         .where(F.col(row_id) != F.col("query_id"))
     )
     # A document listed twice is its own row and its zero row; only the better one may stay.

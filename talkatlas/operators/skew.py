@@ -1,44 +1,19 @@
-"""Joins that stay even when one key holds a large part of the rows."""
+"""Lookups that stay even when one key holds a large part of the rows."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from talkatlas.session import cut
 
-# A key is hot when it holds more than 1/HOT_SHARE of all rows, so there are
-# always fewer than HOT_SHARE hot keys: the bound that makes broadcasting safe.
-HOT_SHARE = 1000
 
-
-def hot_keys(freq: DataFrame, key: str, n: str = "n_rows", share: int = HOT_SHARE) -> DataFrame:
-    """Keys of ``freq`` (one row per key, ``n`` rows each) above 1/share of the total."""
-    total = freq.agg(F.sum(n)).scalar()
-    return freq.where(F.col(key).isNotNull() & (F.col(n) * share > total)).select(key)
-
-
-def skew_join(
-    df: DataFrame,
-    lookup: DataFrame,
-    key: str,
-    how: str = "inner",
-    freq: DataFrame | None = None,
-    n: str = "n_rows",
-    share: int = HOT_SHARE,
-) -> DataFrame:
+def skew_join(df: DataFrame, lookup: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Join ``df`` to ``lookup``, which has one row per key.
 
-    Rows with a hot key meet a broadcast of fewer than ``share`` lookup rows and
-    are not shuffled; the rest join by shuffle, where no key holds more than
-    1/share of the rows. NULL keys never reach the shuffle.
+    The lookup is written once, which gives Spark its measured size: a small one is broadcast and
+    ``df`` is not shuffled. A large one meets ``df`` in a sort-merge join whose two
+    sides both come from an exchange of their own, the form in which adaptive execution splits
+    a partition that is too large by bytes, so a hot key (or the NULL key of a left join) is
+    spread over many tasks however small its share is. Each side is scanned once.
     """
-    if freq is None:
-        freq = cut(df.groupBy(key).agg(F.count(F.lit(1)).alias(n)))  # four branches read it
-    hot = hot_keys(freq, key, n, share)
-    marked = df.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left")
-    aside = F.col("_hot").isNotNull() | F.col(key).isNull()
-    hot_lookup = lookup.join(F.broadcast(hot), key, "left_semi")
-    hot_part = marked.where(aside).drop("_hot").join(F.broadcast(hot_lookup), key, how)
-    cold_part = marked.where(~aside).drop("_hot").join(lookup, key, how)
-    return hot_part.unionByName(cold_part)
+    return df.join(cut(lookup), key, how)

@@ -22,15 +22,20 @@ from talkatlas.operators.chunking import (
     tokenised,
 )
 from talkatlas.operators.split import sample_rows
-from talkatlas.operators.tfidf import doc_count, idf_smooth, with_document_frequency
+from talkatlas.operators.tfidf import doc_count, document_frequency, idf_smooth, term_counts, with_document_frequency
 from talkatlas.session import cut
 
 SPAN = 20
 
 
-def span_scores(docs: DataFrame, row_id: str, text: str, max_length: int = MAX_LENGTH, span: int = SPAN) -> DataFrame:
+def span_scores(
+    docs: DataFrame, row_id: str, text: str, max_length: int = MAX_LENGTH, span: int = SPAN,
+    corpus: DataFrame | None = None,
+) -> DataFrame:
     """``(row_id, n_chunks, chunk_ix, span_ix, score)``: TF-IDF weight of a span's distinct terms.
 
+    Document frequencies are those of ``corpus`` (default: ``docs``).
+
     The places of a term travel with its count, so the weights need no join back
     to the tokens. A document's rows all come from its one text. The document's
     vector length is summed next to the span weights, each term adding its square
@@ -51,8 +56,9 @@ def span_scores(docs: DataFrame, row_id: str, text: str, max_length: int = MAX_L
         .agg(F.count(F.lit(1)).alias("tf"), F.collect_set(place).alias("places"))
     )
     is_term = F.char_length("term") >= 2
-    weighted = with_document_frequency(counts.where(is_term)).withColumn(
-        "weight", F.col("tf") * idf_smooth(doc_count(docs))
+    freq = None if corpus is None else cut(document_frequency(term_counts(corpus, row_id, text)))
+    weighted = with_document_frequency(counts.where(is_term), freq).withColumn(
+        "weight", F.col("tf") * idf_smooth(doc_count(docs if corpus is None else corpus))
     )
     others = counts.where(~is_term).withColumn("weight", F.lit(0.0))
     columns = [row_id, "n_chunks", "places", "weight"]
@@ -74,7 +80,10 @@ def span_scores(docs: DataFrame, row_id: str, text: str, max_length: int = MAX_L
     )
 
 
-def summarise(docs: DataFrame, row_id: str, text: str, max_length: int = MAX_LENGTH, span: int = SPAN) -> DataFrame:
+def summarise(
+    docs: DataFrame, row_id: str, text: str, max_length: int = MAX_LENGTH, span: int = SPAN,
+    corpus: DataFrame | None = None,
+) -> DataFrame:
     """``(row_id, summary)``: the best spans of every chunk, in their order.
 
     Each chunk keeps ``budget div span`` spans, at least one, and no more than
@@ -84,7 +93,7 @@ def summarise(docs: DataFrame, row_id: str, text: str, max_length: int = MAX_LEN
     keep = F.greatest(F.lit(1).cast("bigint"), div(budget, F.lit(span)))
     best_first = Window.partitionBy(row_id, "chunk_ix").orderBy(F.round("score", 6).desc(), F.asc("span_ix"))
     chosen = (
-        span_scores(docs, row_id, text, max_length, span)
+        span_scores(docs, row_id, text, max_length, span, corpus)
         .withColumn("_rank", F.row_number().over(best_first))
         .where(F.col("_rank") <= keep)
         .groupBy(row_id)
@@ -107,8 +116,8 @@ def summarise(docs: DataFrame, row_id: str, text: str, max_length: int = MAX_LEN
 
 
 def summarise_sample(docs: DataFrame, row_id: str, text: str, k: int, seed: int = 42) -> DataFrame:
-    """Summaries of ``k`` random rows; term weights come from those rows alone."""
-    return summarise(cut(sample_rows(docs.select(row_id, text), row_id, k, seed)), row_id, text)
+    """Summaries of ``k`` random rows; term weights come from the whole table."""
+    return summarise(cut(sample_rows(docs.select(row_id, text), row_id, k, seed)), row_id, text, corpus=docs)
 
 
 def summarise_with_model(

@@ -30,9 +30,8 @@ def document_frequency(counts: DataFrame) -> DataFrame:
 
 
 def with_document_frequency(counts: DataFrame, freq: DataFrame | None = None) -> DataFrame:
-    """Attach ``df`` to every row; the frequencies are written once, as four branches read them."""
-    freq = cut(document_frequency(counts)) if freq is None else freq
-    return skew_join(counts, freq, "term", freq=freq, n="df")
+    """Attach ``df`` to every row (default: that of ``counts``); terms without one are left out."""
+    return skew_join(counts, document_frequency(counts) if freq is None else freq, "term")
 
 
 def idf_smooth(n_docs: Column) -> Column:

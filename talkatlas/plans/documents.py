@@ -17,8 +17,6 @@ from talkatlas.operators.recommend import recommend_by_terms
 from talkatlas.plans.common import TRANSCRIPTS, Query, spread_transcripts
 from talkatlas.plans.tables import TOKENS_SQL, _token_counts
 
-# The categories asked for a TF-IDF recommendation.
-QUERY_CATEGORIES = ["de", "en", "es", "fr"]
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -36,7 +34,7 @@ def tfidf_unsmoothed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def recommend_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return recommend_by_terms(spread_transcripts(spark, sf_dir), "doc_id", "transcript", "category", QUERY_CATEGORIES)
+    return recommend_by_terms(spread_transcripts(spark, sf_dir), "doc_id", "transcript", "category")
 
 
 def _bucket_totals(spark: SparkSession, sf_dir: str, vector: str) -> DataFrame:
@@ -150,7 +148,8 @@ def _chunks(source: str) -> str:
 
 
 def _summary_sql(source: str) -> str:
-    return f"""WITH {_postings(source)}, {_chunks(source)},
+    """Summaries of the rows of ``source`` with weights from all transcripts."""
+    return f"""WITH {_postings(TRANSCRIPTS)}, {_chunks(source)},
     spans AS (
       SELECT doc_id, chunk_ix, budget, span_ix,
         list_slice(ts, chunk_start + span_ix * 20 + 1,
@@ -174,7 +173,6 @@ def _summary_sql(source: str) -> str:
 
 _SAMPLE = f"(SELECT * FROM {TRANSCRIPTS} ORDER BY md5('42:' || doc_id), doc_id LIMIT 10)"
 _LETTER_COUNTS = ", ".join(f"length(transcript) - length(replace(transcript, '{c}', ''))" for c in LETTERS)
-_CATEGORIES_SQL = ", ".join(f"'{c}'" for c in QUERY_CATEGORIES)
 
 QUERIES: dict[str, Query] = {
     "tfidf_l2": Query(
@@ -191,7 +189,7 @@ QUERIES: dict[str, Query] = {
         f"""WITH {_postings(TRANSCRIPTS)}, picked AS (
           SELECT category AS query_category, doc_id AS query_id,
             row_number() OVER (PARTITION BY category ORDER BY md5('42:' || doc_id), doc_id) AS pick
-          FROM {TRANSCRIPTS} WHERE category IN ({_CATEGORIES_SQL})),
+          FROM {TRANSCRIPTS} WHERE category IS NOT NULL),
         q AS (SELECT query_category, query_id, term, weight AS qw FROM picked
           JOIN weights ON doc_id = query_id WHERE pick = 1),
         shared AS (SELECT query_id, doc_id, sum(weight * qw) AS sim FROM q JOIN weights w ON q.term = w.term GROUP BY 1, 2),

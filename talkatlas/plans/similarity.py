@@ -103,6 +103,23 @@ def recommend_topk_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.recommend_all(vectors(spark, sf_dir), "vec_id", "embedding", DIM, "category")
 
 
+def _faulty_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of five categories made unusable, each in its own way; the other categories are sound."""
+    v = vectors(spark, sf_dir)
+    whole = F.col("embedding").cast("array<double>")
+    tail = F.slice(whole, 2, DIM - 1)
+    faulty = whole
+    for category, value in ((9, F.lit(None).cast("double")), (8, F.lit(float("nan"))), (7, F.lit(float("inf")))):
+        faulty = F.when(F.col("category") == category, F.concat(F.array(value), tail)).otherwise(faulty)
+    faulty = F.when(F.col("category") == 6, tail).otherwise(faulty)
+    return v.withColumn("embedding", faulty).withColumn("vec_id", F.when(F.col("category") != 5, F.col("vec_id")))
+
+
+def recommend_faulty_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Neighbours of every sound row among the sound rows; the others take no part."""
+    return R.recommend_all(_faulty_vectors(spark, sf_dir), "vec_id", "embedding", DIM, "category", k=4)
+
+
 def neighbour_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.neighbour_hits(recommend_topk_all(spark, sf_dir), "vec_id", "category")
 
@@ -199,6 +216,10 @@ QUERIES: dict[str, Query] = {
         SELECT * FROM ranked WHERE rank <= 9 AND query_vec_id IN (SELECT vec_id FROM picked WHERE pick = 1)""",
     ),
     "recommend_topk_all": Query(recommend_topk_all, f"{_RANKED} SELECT * FROM ranked WHERE rank <= 9"),
+    "recommend_faulty_vectors": Query(
+        recommend_faulty_vectors,
+        f"WITH n AS (SELECT * FROM {_NORMED} WHERE category < 5), {_PAIRS} SELECT * FROM ranked WHERE rank <= 3",
+    ),
     "neighbour_hits": Query(
         neighbour_hits,
         f"""{_RANKED} SELECT query_vec_id, query_category, count(*) AS n_neighbours,

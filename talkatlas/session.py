@@ -9,12 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str = "local[*]", app: str = "talkatlas", **conf: str) -> SparkSession:
-    """A session with the settings the operators are tuned for."""
-    cores = master[len("local["):-1] if master.startswith("local[") else "*"
+    """A session with the settings the operators are tuned for.
+
+    Shuffle width and driver memory are set for a local master only; a cluster keeps its own.
+    """
+    local = master.startswith("local[") and not master.startswith("local-cluster")
+    cores = master[len("local["):-1] if local else "*"
     builder = (
         SparkSession.builder.master(master)
         .appName(app)
-        .config("spark.sql.shuffle.partitions", "8" if cores == "*" else cores)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
@@ -22,8 +25,10 @@ def build_session(master: str = "local[*]", app: str = "talkatlas", **conf: str)
         .config("spark.serializer", "org.apache.spark.serializer.KryoSerializer")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "12g")
     )
+    if local:
+        builder = builder.config("spark.sql.shuffle.partitions", "8" if cores == "*" else cores)
+        builder = builder.config("spark.driver.memory", "12g")
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()

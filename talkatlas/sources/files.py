@@ -43,7 +43,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType = TRANSCRIPT_S
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV that :func:`read_csv` reads back unchanged, one file per partition."""
+    """CSV that :func:`read_csv` reads back, one file per partition; an empty string comes back as NULL."""
     (
         df.write.option("header", True)
         .option("quote", '"')
@@ -62,13 +62,15 @@ def write_lines(df: DataFrame, column: str, path: str) -> None:
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """``(value, line_key)``; keys order the lines of the files as written.
 
-    File name, offset of the split and position inside it, so a large file may
-    be read by many tasks.
+    Number and name of the file, offset of the split and position inside it, so a
+    large file may be read by many tasks, and 100,000 files and more keep their order.
     """
+    name = F.col("_metadata.file_name")
     return spark.read.text(path).select(
         "value",
         F.struct(
-            F.col("_metadata.file_name").alias("file"),
+            F.regexp_extract(name, r"^part-(\d+)", 1).try_cast("bigint").alias("part"),
+            name.alias("file"),
             F.col("_metadata.file_block_start").alias("split"),
             F.monotonically_increasing_id().alias("seq"),
         ).alias("line_key"),

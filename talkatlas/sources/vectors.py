@@ -22,7 +22,7 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_vectors(df: DataFrame, text: str, dim: int, out: str = "embedding") -> tuple[DataFrame, DataFrame]:
-    """Rows whose text holds ``dim`` numbers, and the rows that do not."""
+    """Rows whose text holds ``dim`` finite numbers, and the rows that do not."""
     parsed = df.withColumn(out, V.text_to_vector(F.col(text)))
-    good = F.coalesce(V.is_vector(F.col(out), dim), F.lit(False))
+    good = V.is_vector(F.col(out), dim)
     return parsed.where(good), parsed.where(~good)

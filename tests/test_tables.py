@@ -8,7 +8,7 @@ from talkatlas.operators import profile as P
 from talkatlas.operators import split as S
 from talkatlas.operators.lemma import lemmatise, preprocess_column
 from talkatlas.operators.ranking import global_rank, top_per_group
-from talkatlas.operators.skew import hot_keys, skew_join
+from talkatlas.operators.skew import skew_join
 from talkatlas.session import scratch_path
 from talkatlas.sources import files
 from talkatlas.sources.vectors import parse_vectors
@@ -109,14 +109,40 @@ def test_skew_join_keeps_every_row(spark):
     keys = [None] * 40 + ["hot"] * 400 + [f"k{i}" for i in range(100)] + ["lost"] * 3
     df = spark.createDataFrame(list(enumerate(keys)), "id long, key string")
     lookup = spark.createDataFrame([("hot", 1)] + [(f"k{i}", i) for i in range(100)], "key string, v long")
-    freq = df.groupBy("key").agg(F.count("*").alias("n_rows"))
-    assert [r.key for r in hot_keys(freq, "key", share=10).collect()] == ["hot"]
     for how in ("inner", "left"):
-        got = skew_join(df, lookup, "key", how, share=10)
+        got = skew_join(df, lookup, "key", how)
         plain = df.join(lookup, "key", how)
         assert sorted(map(str, got.select("id", "key", "v").collect())) == sorted(map(str, plain.select("id", "key", "v").collect()))
 
 
+def test_skew_join_splits_a_hot_key_and_scans_once(spark, monkeypatch):
+    """A key with 30 % of the rows is split into several tasks when the lookup is not broadcast."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.shuffle.partitions": "40",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        hot = F.when(F.col("id") % 10 < 3, F.lit("hot")).otherwise(F.sha2(F.col("id").cast("string"), 256))
+        pad = F.sha2(F.concat(F.lit("pad"), F.col("id").cast("string")), 256)
+        df = spark.range(0, 60_000, 1, 8).select("id", hot.alias("key"), pad.alias("pad"))
+        lookup = df.select("key").distinct().withColumn("v", F.length("key"))
+        joined = skew_join(df, lookup, "key").withColumn("task", F.spark_partition_id())
+        hot_rows = F.count_if(F.col("key") == "hot").alias("count")
+        rows = [r for r in joined.groupBy("task").agg(hot_rows, F.max("pad")).collect() if r["count"]]
+        assert sum(r["count"] for r in rows) == 18_000
+        assert len(rows) > 1 and max(r["count"] for r in rows) < 18_000
+        assert joined._jdf.queryExecution().sparkPlan().toString().count("Range (") == 1
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_category_codes_are_alphabetical_and_drop_null(spark):
     df = spark.createDataFrame([(0, "b"), (1, "a"), (2, None), (3, "c"), (4, "a")], "id long, category string")
     assert {r.id: r.label for r in L.category_codes(df, "category").collect()} == {0: 1.0, 1: 0.0, 3: 2.0, 4: 0.0}
@@ -133,6 +159,22 @@ def test_positional_rename_and_key_comparison(spark):
     assert L.same_keys(a, b, "k", "position").first().equal is False
 
 
+def test_nulls_are_values_when_keys_are_compared(spark):
+    a = spark.createDataFrame([("x",), (None,), (None,)], "k string")
+    b = spark.createDataFrame([(None,), ("x",)], "k string")
+    assert L.same_keys(a, b, "k").first().equal is True
+    assert L.same_keys(a, b.where("k IS NOT NULL"), "k").first().equal is False
+    assert L.values_not_in(a, b, "k").count() == 0
+    assert [r.k for r in L.values_not_in(a, b.where("k IS NOT NULL"), "k").collect()] == [None]
+
+
+def test_lines_keep_their_order_beyond_100000_files(spark, tmp_path):
+    for name, line in (("part-99999-a.txt", "first"), ("part-100000-a.txt", "second"), ("part-1000000-a.txt", "third")):
+        (tmp_path / name).write_text(line + "\n")
+    lines = files.read_lines(spark, str(tmp_path)).orderBy("line_key")
+    assert [r.value for r in lines.collect()] == ["first", "second", "third"]
+
+
 def test_splits_are_complete_and_independent_of_partitions(spark):
     ids = spark.range(5000)
     train, test = S.train_test_split(ids, "id")
@@ -146,8 +188,11 @@ def test_splits_are_complete_and_independent_of_partitions(spark):
     assert S.split_at_row(ids, "id", 0).where("part = 1").count() == 0
 
 
-def test_split_at_a_large_row_uses_a_distributed_sort(spark, monkeypatch):
-    monkeypatch.setattr(S, "TOP_N_ROWS", 10)
+def test_split_counts_repeated_and_missing_ids_as_rows(spark):
+    ids = spark.createDataFrame([(None,), (1,), (1,), (1,), (2,), (3,)], "id long")
+    for n, want in ((2, [1, 1]), (4, [1, 1, 1, 2]), (6, [1, 1, 1, 2, 3, None])):
+        first = S.split_at_row(ids, "id", n).where("part = 1").collect()
+        assert sorted((r.id for r in first), key=lambda x: (x is None, x)) == want
     parts = S.split_at_row(spark.range(500), "id", 123).groupBy("part").agg(F.count("*").alias("n"), F.max("id").alias("m"))
     assert {r.part: (r.n, r.m) for r in parts.collect()} == {1: (123, 122), 2: (377, 499)}
 

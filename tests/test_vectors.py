@@ -62,7 +62,7 @@ def as_lists(df):
 
 
 @pytest.mark.parametrize("metric", ["cosine", "euclidean"])
-@pytest.mark.parametrize("how", [{}, {"broadcast_bytes": 0}, {"broadcast_bytes": 0, "block_rows": 90}])
+@pytest.mark.parametrize("how", [{"strategy": "broadcast"}, {"strategy": "tiled"}, {"strategy": "tiled", "block_rows": 90}])
 def test_nearest_equals_brute_force(spark, metric, how):
     m, df = many(spark)
     got = nearest(df, df, 6, row_id="vec_id", vector="embedding", dim=5, metric=metric, **how)
@@ -72,20 +72,34 @@ def test_nearest_equals_brute_force(spark, metric, how):
 def test_nearest_skips_the_own_fold(spark):
     m, df = many(spark, n=200, copies=70)
     got = nearest(
-        df, df, 4, row_id="vec_id", vector="embedding", dim=5, exclude="fold", broadcast_bytes=0, block_rows=64
+        df, df, 4, row_id="vec_id", vector="embedding", dim=5, exclude="fold", strategy="tiled", block_rows=64
     )
     assert as_lists(got) == by_hand(m, 4, "cosine", fold=lambda i: i % 4)
 
 
 def test_nearest_with_few_candidates_and_bad_rows(spark):
-    df = vectors_small(spark).unionByName(spark.createDataFrame([(9, [1.0], "a", 0), (10, None, "a", 0)], SCHEMA))
-    for how in ({}, {"broadcast_bytes": 0, "block_rows": 2}):
+    bad = [
+        (9, [1.0], "a", 0), (10, None, "a", 0), (11, [1.0, None, 0.0], "a", 0), (12, [float("nan"), 0.0, 1.0], "a", 0),
+        (13, [float("inf"), 0.0, 1.0], "a", 0), (None, [1.0, 0.0, 0.0], "a", 0), (14, [], "a", 0),
+    ]
+    df = vectors_small(spark).unionByName(spark.createDataFrame(bad, SCHEMA))
+    for how in ({"strategy": "broadcast"}, {"strategy": "tiled", "block_rows": 2}, {"broadcast_bytes": 0}):
         got = nearest(df, df, 50, row_id="vec_id", vector="embedding", dim=3, **how)
         lists = as_lists(got)
         assert set(lists) == set(range(6)) and all(len(v) == 5 for v in lists.values())
         assert lists[0] == [1, 2, 3, 5, 4]
 
 
+def test_recommend_leaves_out_bad_rows_and_unknown_ids(spark):
+    bad = [(9, [1.0], "a", 0), (10, None, "a", 0), (11, [1.0, None, 0.0], "a", 0), (12, [float("nan"), 0.0, 1.0], "a", 0), (None, [1.0, 0.0, 0.0], "a", 0)]
+    clean = vectors_small(spark)
+    df = clean.unionByName(spark.createDataFrame(bad, SCHEMA))
+    want = R.recommend(clean, "vec_id", 0, "embedding").collect()
+    assert len(want) == 5 and R.recommend(df, "vec_id", 0, "embedding").collect() == want
+    for query in (999, 10, 11, 12):
+        assert R.recommend(df, "vec_id", query, "embedding").count() == 0
+
+
 def test_vector_expressions(spark):
     row = spark.createDataFrame([([3.0, 4.0], [4.0, 3.0], [0.0, 0.0])], "a array<float>, b array<float>, z array<float>")
     got = row.select(
