@@ -36,9 +36,11 @@ HEADLINE = [
     "classify_knn",
     "knn_grid",
     "tfidf_spark_ml",
-    "classify_rf",
+    "grid_results",
+    "lemma_lookup",
+    "preprocess_column",
 ]
-ONCE = {"classify_rf"}
+ONCE = {"grid_results"}
 SWEEP = [4, 8, 20]
 
 
