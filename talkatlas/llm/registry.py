@@ -59,6 +59,41 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+OP3_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, e, sqrt(list_inner_product(e, e)) AS norm
+  FROM (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings)
+  WHERE label IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+    AND a.norm > 0 AND b.norm > 0 AND len(a.e) = len(b.e)
+  WHERE list_inner_product(a.e, b.e) / (a.norm * b.norm) >= 0.93),
+reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least AS (SELECT a, min(b) AS b FROM reach GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(least(vec_id, b), vec_id) AS component_id,
+  vec_id <= coalesce(b, vec_id) AS kept
+FROM embeddings LEFT JOIN n ON n.a = vec_id LEFT JOIN least ON least.a = vec_id
+"""
+
+OP5_SQL = r"""
+WITH t AS (
+  SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS first_copy,
+    list_filter(string_split_regex(text, '[ \t-\r]+'), lambda x: x <> '') AS w FROM documents),
+spots AS (
+  SELECT doc_id, s, md5(array_to_string(list_slice(w, s + 1, s + 50), ' ')) AS words
+  FROM (SELECT doc_id, w, unnest(range(len(w) - 49)) AS s FROM t WHERE doc_id = first_copy AND len(w) >= 50)),
+firsts AS (SELECT doc_id, s, first_value({'d': doc_id, 's': s}) OVER (PARTITION BY words ORDER BY doc_id, s) AS f FROM spots),
+again AS (
+  SELECT doc_id, s, f.d AS source, coalesce(s > lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 50, true) AS opens
+  FROM firsts WHERE {'d': doc_id, 's': s} <> f),
+spans AS (SELECT doc_id, s, source, sum(opens::INT) OVER (PARTITION BY doc_id ORDER BY s) AS span FROM again)
+SELECT doc_id, min(s)::BIGINT AS start_word, (max(s) + 50 - min(s))::BIGINT AS n_words, min(source)::BIGINT AS first_doc_id
+FROM spans GROUP BY doc_id, span
+UNION ALL
+SELECT doc_id, 0::BIGINT, len(w)::BIGINT, first_copy FROM t WHERE doc_id <> first_copy AND len(w) >= 50
+"""
+
 OP9_SQL = r"""
 WITH t AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS first_id, source, string_split(text, chr(10)) AS ls
            FROM documents),
@@ -97,4 +132,4 @@ QUERIES: dict[str, Run] = {
     "op9_boilerplate": op9_boilerplate,
     "op10_fingerprints": op10_fingerprints,
 }
-SQL: dict[str, str] = {"op9_boilerplate": OP9_SQL}
+SQL: dict[str, str] = {"op3_embedding": OP3_SQL, "op5_suffixes": OP5_SQL, "op9_boilerplate": OP9_SQL}
