@@ -243,12 +243,12 @@ def _training_rows(stats: DataFrame, labels: DataFrame) -> DataFrame:
     if n > FIT_ROWS:
         share = F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(1_000_000))
         rows = rows.where(share < FIT_ROWS * 1_000_000 // n)
-    return rows.repartition(FIT_PARTS, "doc_id")
+    return rows
 
 
 def fit(stats: DataFrame, labels: DataFrame) -> Model | None:
     """The calibrated model, or None without a labelled row."""
-    rows = kept(_training_rows(stats, labels), "training")
+    rows = kept(_training_rows(stats, labels), "training").coalesce(FIT_PARTS)  # few sums for the driver to add
     moments = [np.array(r.sums) for r in rows.mapInArrow(_moments, "sums array<double>").collect()]
     if not moments:
         return None
