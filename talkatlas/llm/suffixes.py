@@ -13,8 +13,9 @@ a document are merged into spans; removing the spans leaves the first copy of ev
 
 Exact copies of a text are one text in these steps (the copy with the smallest id); the other copies
 are one span each. A gram that more than ``GROUP_ROWS`` suffixes start with is dealt to several tasks:
-each marks the repeats among its own and hands on one row per different window, whose first place is then
-found by aggregation. No task holds more than one group of bounded size.
+each marks the repeats among its own and hands on the suffixes that hold a window not seen before in that task.
+These meet again by their gram and ``STEP`` shy of a whole window of the words around it, at every such shift, so
+suffixes that share less than that never come together, however common their gram.
 
 Words are separated by ASCII white space and compared by 64-bit (gram) and 32-bit (word) hashes, so
 two different windows count as equal with a chance below 2**-32. NULL and short texts have no window.
@@ -37,6 +38,7 @@ PASSAGE = 50
 GRAM = 16
 REACH = PASSAGE - GRAM  # words of context on either side that windows around a place can cover
 GROUP_ROWS = 4000
+STEP = 5  # windows of so many neighbouring shifts share one key of the second meeting
 FLAT_ROWS = 20_000
 
 
@@ -120,12 +122,11 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 )
 
 
-def match(group: np.ndarray, around: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+def match(group: np.ndarray, around: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Equal windows of suffixes that are given in the order of their places.
 
     ``group`` numbers the suffixes' grams, ``around`` holds the contexts. Yields, for every number of words
-    to the left of the place: the rows that have such a window, for each the first row with an equal
-    window, and a hash of the words to the left of every row.
+    to the left of the place: the rows that have such a window, and for each the first row with an equal window.
     """
     n = len(group)
     left, right = around[:, :REACH], around[:, REACH:]
@@ -150,7 +151,7 @@ def match(group: np.ndarray, around: np.ndarray) -> Iterator[tuple[int, np.ndarr
             opens = np.flatnonzero(np.concatenate([[True], window[by[1:]] != window[by[:-1]]]))
             first = np.empty(len(rows), np.int64)
             first[by] = np.repeat(rows[by[opens]], np.diff(np.append(opens, len(by))))
-            yield back, rows, first, leftward
+            yield back, rows, first
 
 
 def _complete(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -174,7 +175,7 @@ def _complete(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Repeats within groups as (document, start, mask, first_doc); bit i of the mask is the window at start + i.
 
-    Groups that are dealt to several tasks also hand on their different windows, each with a hash.
+    Groups that are dealt to several tasks also hand on, with their context, the suffixes of first windows.
     """
     for rows in _complete(batches):
         gram, part = rows.column("gram").to_numpy(), rows.column("part").to_numpy()
@@ -185,32 +186,28 @@ def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = rows.column("place").to_numpy()[order].astype(np.int64)
         dealt = rows.column("parts").to_numpy()[order] > 1
         around = texts.raw(rows.column("around"))[0].view(">u4").reshape(-1, 2 * REACH)[order].astype(np.uint32)
-        rightward = np.zeros((REACH + 1, int(dealt.sum())), np.uint64)
-        for k in range(REACH if dealt.any() else 0):
-            rightward[k + 1] = texts.mix(rightward[k] + around[dealt, REACH + k].astype(np.uint64) + np.uint64(1))
-        spot = np.cumsum(dealt) - 1
+        leads = np.zeros(len(doc), bool)
         mask = np.zeros(len(doc), np.int64)
         earliest = np.full(len(doc), np.iinfo(np.int64).max)
-        for back, here, first, leftward in match(group, around):
+        for back, here, first in match(group, around):
             later = (doc[here] != doc[first]) | (place[here] != place[first])
             again = here[later]
             mask[again] |= np.int64(1) << np.int64(REACH - back)
             earliest[again] = np.minimum(earliest[again], doc[first[later]])
-            lead = here[(first == here) & dealt[here]]
-            if len(lead):
-                window = texts.mix(
-                    gram[lead]
-                    + texts.mix(leftward[lead] + np.uint64(back))
-                    + texts.mix(rightward[REACH - back, spot[lead]] ^ np.uint64(0x5DEECE66D))
-                )
-                once = np.ones(len(lead), np.int64)
-                yield _found(doc[lead], digest[lead], place[lead] - back, once, doc[lead], window.view(np.int64))
+            leads[here[first == here]] = True
         hit = np.flatnonzero(mask)
         if len(hit):
-            yield _found(doc[hit], digest[hit], place[hit] - REACH, mask[hit], earliest[hit], None)
+            yield _found(doc[hit], digest[hit], place[hit] - REACH, mask[hit], earliest[hit])
+        on = np.flatnonzero(leads & dealt)
+        if len(on):
+            contexts = rows.column("around").take(pa.array(order[on])).combine_chunks()
+            yield _found(doc[on], digest[on], place[on], mask[on], doc[on], gram[on].view(np.int64), contexts)
+
+
+FOUND = "doc_id long, digest long, start int, mask long, first_doc long, gram long, around binary"
 
 
-def _found(doc, digest, start, mask, first_doc, window) -> pa.RecordBatch:
+def _found(doc, digest, start, mask, first_doc, gram=None, around=None) -> pa.RecordBatch:
     n = len(doc)
     return pa.RecordBatch.from_arrays(
         [
@@ -219,12 +216,31 @@ def _found(doc, digest, start, mask, first_doc, window) -> pa.RecordBatch:
             pa.array(start.astype(np.int32), pa.int32()),
             pa.array(mask, pa.int64()),
             pa.array(first_doc, pa.int64()),
-            pa.nulls(n, pa.int64()) if window is None else pa.array(window, pa.int64()),
+            pa.nulls(n, pa.int64()) if gram is None else pa.array(gram, pa.int64()),
+            pa.nulls(n, pa.binary()) if around is None else around.cast(pa.binary()),
         ],
-        ["doc_id", "digest", "start", "mask", "first_doc", "window"],
+        [c.split()[0] for c in FOUND.split(", ")],
     )
 
 
+def _meet(suffixes: DataFrame, name: str) -> DataFrame:
+    """Repeats among the suffixes of each (gram, part)."""
+    keys = ["gram", "part"]
+    rows = suffixes.select("doc_id", "digest", "place", "gram", "parts", "around", "part")
+    return kept(rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_matches, FOUND), name)
+
+
+def _second_keys() -> Column:
+    """For every shift of STEP windows: a hash of the gram and the words around it that all of them hold."""
+    found = []
+    for left in range(0, REACH + 1, STEP):
+        right = max(0, REACH - left - STEP + 1)
+        before = F.substring("around", F.lit(1), F.lit(4 * left))
+        after = F.substring("around", F.lit(4 * REACH + 1), F.lit(4 * right))
+        found.append(F.xxhash64("gram", F.lit(left), before, after))
+    return F.array(*found)
+
+
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Windows of each document -> its spans: words [start_word, start_word + n_words) and the least first_doc."""
     offset = np.arange(REACH + 1)
@@ -289,23 +305,13 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     contexts = around.select("doc_id", "digest", "text", "spots").mapInArrow(
         _contexts, "doc_id long, digest long, place int, gram long, parts int, around binary"
     )
-    keys = ["gram", "part"]
-    found = kept(
-        contexts.withColumn("part", F.pmod(F.xxhash64("doc_id", "place"), F.col("parts")).cast("int"))
-        .repartition(*keys)
-        .sortWithinPartitions(*keys)
-        .mapInArrow(_matches, "doc_id long, digest long, start int, mask long, first_doc long, window long"),
-        "found",
-    )
-    inside = found.where("window IS NULL").select("doc_id", "digest", "start", "mask", "first_doc")
-    windows = found.where("window IS NOT NULL")
-    lead = windows.groupBy("window").agg(F.min(F.struct("doc_id", "start")).alias("lead"), F.count(F.lit(1)).alias("n"))
-    lead = kept(lead.where("n > 1").select("window", "lead"), "lead")
-    across = (
-        windows.join(lead, "window")
-        .where((F.col("doc_id") != F.col("lead.doc_id")) | (F.col("start") != F.col("lead.start")))
-        .select("doc_id", "digest", "start", "mask", F.col("lead.doc_id").alias("first_doc"))
-    )
+    found = _meet(contexts.withColumn("part", F.pmod(F.xxhash64("doc_id", "place"), F.col("parts")).cast("int")), "found")
+    marks = ["doc_id", "digest", "start", "mask", "first_doc"]
+    on = found.where("around IS NOT NULL").withColumn("gram", F.explode(_second_keys()))
+    one = F.lit(1).alias("parts"), F.lit(0).alias("part")
+    again = _meet(on.select("doc_id", "digest", F.col("start").alias("place"), "gram", "around", *one), "again")
+    inside = found.where("around IS NULL").select(*marks)
+    across = again.select(*marks)
     spans = (
         inside.unionByName(across)
         .groupBy("doc_id", "digest")
