@@ -4,7 +4,8 @@ Vectors with equal labels link if their cosine is at least ``THRESHOLD``. The se
 neighbours per vector and refines it: the neighbours (and reverse neighbours) of a vector are compared with one
 another, which finds neighbours of neighbours, until few lists change. Lists start from windows over vectors
 sorted by random-hyperplane codes. A list that is full of links is saturated and doubles its room, up to
-``MAX_ROOM``. Then recall is audited: a hashed set of at most ``AUDIT`` vectors is compared with all vectors of
+``MAX_ROOM``. What a list has no room for still counts as a link: every comparison hands on a spanning forest of
+the links it saw. Then recall is audited: a hashed set of at most ``AUDIT`` vectors is compared with all vectors of
 their label; what is missing counts against recall and is added, and below ``RECALL`` another search
 with fresh codes follows on top of the lists so far.
 
@@ -72,8 +73,28 @@ def _codes(seed: int):
     return codes
 
 
-def _edges(node: np.ndarray, other: np.ndarray, sim: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(node), pa.array(other), pa.array(sim)], ["node", "other", "sim"])
+SEEN = "node long, other long, sim double, bridge boolean"
+
+
+def _edges(node: np.ndarray, other: np.ndarray, sim: np.ndarray | None = None) -> pa.RecordBatch:
+    """Candidates for the lists, or without ``sim`` bridges: links that only join components."""
+    n = len(node)
+    sims = pa.nulls(n, pa.float64()) if sim is None else pa.array(sim)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(node), pa.array(other), sims, pa.array(np.full(n, sim is None))], ["node", "other", "sim", "bridge"]
+    )
+
+
+def _forest(n: int, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The components of the links ``a - b`` between ``n`` places as (place, least place of its component)."""
+    label = np.arange(n)
+    while (label[a] != label[b]).any():
+        low, high = np.minimum(label[a], label[b]), np.maximum(label[a], label[b])
+        np.minimum.at(label, high, low)
+        while (label != label[label]).any():
+            label = label[label]
+    moved = np.flatnonzero(label != np.arange(n))
+    return moved, label[moved]
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,6 +116,10 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 a, b = a[keep], b[keep]
                 if len(a):
                     sim = np.einsum("ij,ij->i", unit[a], unit[b])
+                    linked = sim >= THRESHOLD
+                    if linked.any():
+                        child, root = _forest(len(own), a[linked], b[linked])
+                        yield _edges(node[own[child]], node[own[root]])
                     yield _edges(np.concatenate([node[own[a]], node[own[b]]]), np.concatenate([node[own[b]], node[own[a]]]), np.concatenate([sim, sim]))
 
 
@@ -123,6 +148,7 @@ def _compare(rows: pa.Table) -> Iterator[pa.RecordBatch]:
     unit = _unit(vectors)
     opens = np.flatnonzero(np.concatenate([[True], centre[1:] != centre[:-1]]))
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    bridges: list[tuple[np.ndarray, np.ndarray]] = []
     for s, e in zip(opens, np.append(opens[1:], len(centre)), strict=True):
         for lo in range(s, e, CHUNK):
             hi = min(e, lo + CHUNK)
@@ -133,23 +159,38 @@ def _compare(rows: pa.Table) -> Iterator[pa.RecordBatch]:
             i, j = np.nonzero(wanted & (sim > least[lo:hi, None]))
             if len(i):
                 found.append((node[lo + i], node[lo + j], sim[i, j]))
+            i, j = np.nonzero(np.triu(wanted & (sim >= THRESHOLD)))
+            if len(i):
+                child, root = _forest(hi - lo, i, j)
+                bridges.append((node[lo + child], node[lo + root]))
+    if bridges:
+        yield _edges(*(np.concatenate(c) for c in zip(*bridges, strict=True)))
     if found:
         yield _edges(*(np.concatenate(c) for c in zip(*found, strict=True)))
 
 
 def _best(edges: DataFrame) -> DataFrame:
-    """``node, other, sim, fresh, room``: the nearest of each node; a list full of links has twice the room."""
-    once = edges.groupBy("node", "other").agg(F.max("sim").alias("sim"), F.min("fresh").alias("fresh"), F.max("room").alias("room"))
+    """``node, other, sim, fresh, room, near, bridge``: the nearest of each node, and all bridges.
+
+    A list full of links has twice the room. Rows with ``near`` are the lists; the others are bridges alone.
+    """
+    once = edges.groupBy("node", "other").agg(
+        F.max("sim").alias("sim"),
+        F.min("fresh").alias("fresh"),
+        F.max("room").alias("room"),
+        F.max("bridge").alias("bridge"),
+    )
     of_node = Window.partitionBy("node")
-    place = F.row_number().over(of_node.orderBy(F.desc("sim"), "other"))
+    place = F.row_number().over(of_node.orderBy(F.desc_nulls_last("sim"), "other"))
     ranked = once.withColumn("place", place).withColumn("room", F.max("room").over(of_node))
     full = F.sum(((F.col("place") <= F.col("room")) & (F.col("sim") >= THRESHOLD)).cast("int")).over(of_node) >= F.col("room")
     room = F.when(full, F.least(F.col("room") * 2, F.lit(MAX_ROOM))).otherwise(F.col("room"))
-    return ranked.withColumn("room", room).where(F.col("place") <= F.col("room")).drop("place")
+    near = F.col("sim").isNotNull() & (F.col("place") <= F.col("room"))
+    return ranked.withColumn("room", room).withColumn("near", near).where("near OR bridge").drop("place")
 
 
 def _round(points: DataFrame, lists: DataFrame, number: int) -> DataFrame:
-    """One refinement: neighbours of neighbours join the lists."""
+    """One refinement: neighbours of neighbours join the lists; gives what ``_best`` gives."""
     members = lists.select(F.col("node").alias("centre"), F.col("other").alias("node"), "fresh").unionByName(
         lists.select(F.col("other").alias("centre"), "node", "fresh")
     )
@@ -164,33 +205,40 @@ def _round(points: DataFrame, lists: DataFrame, number: int) -> DataFrame:
         .repartition("centre")
         .sortWithinPartitions("centre", "turn")
         .select("centre", "node", "fresh", "least", "vector")
-        .mapInArrow(_local_joins, "node long, other long, sim double")
+        .mapInArrow(_local_joins, SEEN)
     )
-    old = lists.withColumn("fresh", F.lit(False))
+    old = lists.select("node", "other", "sim", F.lit(False).alias("bridge"), F.lit(False).alias("fresh"), "room")
     new = found.withColumn("fresh", F.lit(True)).withColumn("room", F.lit(ROOM))
     return kept(_best(old.unionByName(new)), "lists")
 
 
-def descend(points: DataFrame, lists: DataFrame | None, seed: int) -> DataFrame:
-    """Neighbour lists of all points, refined from fresh windows and the lists so far."""
+def descend(points: DataFrame, lists: DataFrame | None, seed: int) -> tuple[DataFrame, DataFrame]:
+    """Neighbour lists of all points, refined from fresh windows and the lists so far, and links.
+
+    The links join whatever a window or a local join saw to be linked, also where the lists had no room for it.
+    """
     order = ["number", "label", "dim", "code", "node"]
     start = (
         points.mapInArrow(_codes(seed), "number int, code long, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in points.schema))
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .mapInArrow(_windows, "node long, other long, sim double")
+        .mapInArrow(_windows, SEEN)
         .withColumn("fresh", F.lit(True))
         .withColumn("room", F.lit(ROOM))
     )
     if lists is not None:
-        start = start.unionByName(lists.withColumn("fresh", F.lit(False)))
-    lists = kept(_best(start), "lists")
+        old = lists.select("node", "other", "sim", F.lit(False).alias("bridge"), F.lit(False).alias("fresh"), "room")
+        start = start.unionByName(old)
+    seen = kept(_best(start), "lists")
+    links = seen.where("bridge").select("node", "other")
     for number in range(ROUNDS):
-        lists = _round(points, lists, number)
-        total, fresh = lists.agg(F.count(F.lit(1)), F.sum(F.col("fresh").cast("int"))).first()
+        seen = _round(points, seen.where("near"), number)
+        links = links.unionByName(seen.where("bridge").select("node", "other"))
+        total, fresh = seen.where("near").agg(F.count(F.lit(1)), F.sum(F.col("fresh").cast("int"))).first()
         if (fresh or 0) <= CHANGED * total:
             break
-    return lists
+    lists = seen.where("near")
+    return lists, links.unionByName(lists.where(F.col("sim") >= THRESHOLD).select("node", "other"))
 
 
 def _audit(points: DataFrame, links: DataFrame) -> tuple[float, DataFrame]:
@@ -215,7 +263,7 @@ def _audit(points: DataFrame, links: DataFrame) -> tuple[float, DataFrame]:
                     i, j = np.nonzero((sim >= THRESHOLD) & (nodes[:, None] != other[None, :]))
                     yield _edges(nodes[i], other[j], sim[i, j])
 
-    true = kept(points.mapInArrow(compare, "node long, other long, sim double"), "audit")
+    true = kept(points.mapInArrow(compare, SEEN), "audit")
     both = links.select("node", "other").union(links.select("other", "node")).distinct()
     n_true = true.count()
     n_found = true.join(both, ["node", "other"], "left_semi").count() if n_true else 0
@@ -293,8 +341,7 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embe
     points = classes.select("node", "label", "dim", "vector")
     lists, links, seed = None, None, 0
     while True:
-        lists = descend(points, lists, seed)
-        near = lists.where(F.col("sim") >= THRESHOLD).select("node", "other")
+        lists, near = descend(points, lists, seed)
         recall, extra = _audit(points, near)
         links = near if links is None else near.unionByName(links)
         links = links.unionByName(extra.select("node", "other"))

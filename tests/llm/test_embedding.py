@@ -80,3 +80,33 @@ def test_links_match_brute_force(spark, monkeypatch, block):
 def test_empty_table(spark):
     _, df = planted(spark)
     assert embedding.near_vectors(df.limit(0)).count() == 0
+
+
+def components(unit):
+    linked = unit @ unit.T >= embedding.THRESHOLD
+    np.fill_diagonal(linked, False)
+    label = np.arange(len(unit))
+    while True:
+        new = np.minimum(label, np.where(linked, label[None, :], len(unit)).min(axis=1))
+        if (new == label).all():
+            return linked.sum(axis=1), label
+        label = new
+
+
+def bridged(spark, others=3000, size=60):
+    """Two tight groups, linked across but with more near vectors of their own than a list holds, among others."""
+    rng = np.random.default_rng(5)
+    u, v = np.eye(32)[0], 0.955 * np.eye(32)[0] + np.sqrt(1 - 0.955**2) * np.eye(32)[1]
+    groups = np.concatenate([x + rng.normal(size=(size, 32)) * 0.0125 for x in (u, v)])
+    unit = np.concatenate([rng.normal(size=(others, 32)), groups]).astype(np.float32).astype(float)
+    rows = [(i, [float(y) for y in x], 1, 1, 2.0) for i, x in enumerate(unit)]
+    return unit / np.linalg.norm(unit, axis=1, keepdims=True), spark.createDataFrame(rows, SCHEMA)
+
+
+def test_links_across_full_lists_join_groups(spark, monkeypatch):
+    monkeypatch.setattr(embedding, "AUDIT", 0)  # the search alone
+    unit, df = bridged(spark)
+    links, label = components(unit)
+    assert len(set(label[-120:])) == 1 and links[-1] > 2 * embedding.MAX_ROOM
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding.near_vectors(df).collect()}
+    assert got == {i: (int(links[i]), int(label[i])) for i in range(len(unit))}
