@@ -5,9 +5,10 @@ neighbours per vector and refines it: the neighbours (and reverse neighbours) of
 another, which finds neighbours of neighbours, until few lists change. Lists start from windows over vectors
 sorted by random-hyperplane codes. A list that is full of links is saturated and doubles its room, up to
 ``MAX_ROOM``. What a list has no room for still counts as a link: every comparison hands on a spanning forest of
-the links it saw. Then recall is audited: a hashed set of at most ``AUDIT`` vectors is compared with all vectors of
-their label; what is missing counts against recall and is added, and below ``RECALL`` another search
-with fresh codes follows on top of the lists so far.
+the links it saw. Then the search alone is audited: a hashed set of at most ``AUDIT`` vectors is compared with all
+vectors of their label, and every link between two components is a miss. The audit adds no links, so small and large
+tables go one way. After a miss another search with fresh codes follows on top of the lists so far; if the last of
+``SEARCHES`` still misses a link, all vectors of a label are compared in blocks, exactly.
 
 Links of at least the threshold give the components. Lists cannot hold all links of a large dense group, so every
 component is compared within itself in blocks, exactly and in double precision, and only sums of
@@ -40,7 +41,6 @@ REACH = 8
 ROUNDS = 4
 CHANGED = 0.05
 AUDIT = 1000
-RECALL = 0.995
 SEARCHES = 4
 CHUNK = 64
 BLOCK = 512
@@ -241,49 +241,68 @@ def descend(points: DataFrame, lists: DataFrame | None, seed: int) -> tuple[Data
     return lists, links.unionByName(lists.where(F.col("sim") >= THRESHOLD).select("node", "other"))
 
 
-def _audit(points: DataFrame, links: DataFrame) -> tuple[float, DataFrame]:
-    """Recall of the links of some vectors, and all their links; the vectors are hashed and AUDIT at most."""
-    n = points.count()
+def _audit(placed: DataFrame) -> int:
+    """The number of links of some vectors that join two components; the vectors are hashed and AUDIT at most.
+
+    ``placed`` has ``node, label, dim, vector, root``.
+    """
+    n = placed.count()
     share = F.pmod(F.xxhash64("node", F.lit("audit")), F.lit(1_000_000))
-    asked = points.where(share < 500_000 * AUDIT // max(n, 1)).select("node", "label", "dim", "vector").limit(AUDIT).collect()
+    asked = placed.where(share < 500_000 * AUDIT // max(n, 1)).select("root", "label", "dim", "vector").limit(AUDIT).collect()
     groups: dict[tuple, tuple[np.ndarray, np.ndarray]] = {}
     for key in {(r.label, r.dim) for r in asked}:
         own = [r for r in asked if (r.label, r.dim) == key]
         unit = np.array([r.vector for r in own], float)
-        groups[key] = np.array([r.node for r in own]), unit / np.linalg.norm(unit, axis=1, keepdims=True)
+        groups[key] = np.array([r.root for r in own]), unit / np.linalg.norm(unit, axis=1, keepdims=True)
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def missed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             label, dim = batch.column("label").to_numpy(), batch.column("dim").to_numpy()
-            for key, (nodes, unit) in groups.items():
+            for key, (roots, unit) in groups.items():
                 own = np.flatnonzero((label == key[0]) & (dim == key[1]))
                 if len(own):
                     sim = unit @ _unit(batch.column("vector").take(pa.array(own))).T
-                    other = batch.column("node").to_numpy()[own]
-                    i, j = np.nonzero((sim >= THRESHOLD) & (nodes[:, None] != other[None, :]))
-                    yield _edges(nodes[i], other[j], sim[i, j])
+                    apart = roots[:, None] != batch.column("root").to_numpy()[own][None, :]
+                    n_missed = np.count_nonzero((sim >= THRESHOLD) & apart)
+                    yield pa.RecordBatch.from_arrays([pa.array([n_missed], pa.int64())], ["missed"])
 
-    true = kept(points.mapInArrow(compare, SEEN), "audit")
-    both = links.select("node", "other").union(links.select("other", "node")).distinct()
-    n_true = true.count()
-    n_found = true.join(both, ["node", "other"], "left_semi").count() if n_true else 0
-    return (n_found / n_true if n_true else 1.0), true
+    return placed.mapInArrow(missed, "missed long").agg(F.coalesce(F.sum("missed"), F.lit(0))).first()[0]
 
 
-def _block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, weight of its links) within and between two blocks of a component; rows come sorted by pair of blocks."""
-    held: pa.Table | None = None
+def _in_blocks(work):
+    """``work`` on the rows of whole pairs of blocks; rows come sorted by (root, i, j)."""
     keys = ("root", "i", "j")
-    for batch in batches:
-        rows = pa.Table.from_batches([batch])
-        rows = (rows if held is None else pa.concat_tables([held, rows])).combine_chunks()
-        key = np.stack([rows.column(c).to_numpy() for c in keys])
-        change = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0))
-        cut = int(change[-1]) + 1 if len(change) else 0
-        held = rows.slice(cut)
-        yield from _count(rows.slice(0, cut), key[:, :cut])
-    if held is not None and held.num_rows:
-        yield from _count(held, np.stack([held.column(c).to_numpy() for c in keys]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = (rows if held is None else pa.concat_tables([held, rows])).combine_chunks()
+            key = np.stack([rows.column(c).to_numpy() for c in keys])
+            change = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0))
+            cut = int(change[-1]) + 1 if len(change) else 0
+            held = rows.slice(cut)
+            yield from work(rows.slice(0, cut), key[:, :cut])
+        if held is not None and held.num_rows:
+            yield from work(held, np.stack([held.column(c).to_numpy() for c in keys]))
+
+    return run
+
+
+def _join(rows: pa.Table, key: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(node, other): a spanning forest of the links of each pair of blocks."""
+    if not rows.num_rows:
+        return
+    rows = rows.combine_chunks()
+    node, size = rows.column("node").to_numpy(), rows.column("dim").to_numpy()
+    opens = np.flatnonzero(np.concatenate([[True], (key[:, 1:] != key[:, :-1]).any(axis=0)]))
+    for s, e in zip(opens, np.append(opens[1:], len(node)), strict=True):
+        for dim in np.unique(size[s:e]):
+            at = s + np.flatnonzero(size[s:e] == dim)
+            unit = _unit(rows.column("vector").combine_chunks().take(pa.array(at)))
+            a, b = np.nonzero(np.triu(unit @ unit.T >= THRESHOLD, 1))
+            child, root = _forest(len(at), a, b)
+            yield pa.RecordBatch.from_arrays([pa.array(node[at[child]]), pa.array(node[at[root]])], ["node", "other"])
 
 
 def _count(rows: pa.Table, key: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -303,8 +322,8 @@ def _count(rows: pa.Table, key: np.ndarray) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(links)], ["node", "links"])
 
 
-def exact_links(members: DataFrame) -> DataFrame:
-    """``node, links`` for ``root, node, dim, vector, weight``: the weight of all links inside each component."""
+def _dealt(members: DataFrame) -> DataFrame:
+    """Members of each root as pairs of blocks, each pair in one place."""
     sizes = kept(members.groupBy("root").agg(F.count(F.lit(1)).alias("n")), "sizes")
     parts = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
     keys = ["root", "i", "j"]
@@ -313,15 +332,23 @@ def exact_links(members: DataFrame) -> DataFrame:
         .withColumn("parts", parts)
         .withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
         .withColumn("mate", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .select("root", F.least("own", "mate").alias("i"), F.greatest("own", "mate").alias("j"), "own", "node", "weight", "vector")
-    )
-    return (
-        dealt.repartition(*keys)
-        .sortWithinPartitions(*keys)
-        .mapInArrow(_block_links, "node long, links long")
-        .groupBy("node")
-        .agg(F.sum("links").alias("links"))
+        .select(
+            "root", F.least("own", "mate").alias("i"), F.greatest("own", "mate").alias("j"), "own", "node", "dim", "weight", "vector"
+        )
     )
+    return dealt.repartition(*keys).sortWithinPartitions(*keys)
+
+
+def exact_links(members: DataFrame) -> DataFrame:
+    """``node, links`` for ``root, node, dim, vector, weight``: the weight of all links inside each component."""
+    counted = _dealt(members).mapInArrow(_in_blocks(_count), "node long, links long")
+    return counted.groupBy("node").agg(F.sum("links").alias("links"))
+
+
+def all_links(points: DataFrame) -> DataFrame:
+    """``node, other`` that join all linked vectors of a label, from comparing each with each; quadratic work."""
+    rows = points.select(F.col("label").alias("root"), "node", "dim", F.lit(1).cast("long").alias("weight"), "vector")
+    return _dealt(rows).mapInArrow(_in_blocks(_join), "node long, other long")
 
 
 def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", label: str = "label") -> DataFrame:
@@ -339,16 +366,17 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embe
     )
     classes = kept(classes.withColumn("node", F.monotonically_increasing_id()).withColumn("dim", F.size("vector")), "classes")
     points = classes.select("node", "label", "dim", "vector")
-    lists, links, seed = None, None, 0
-    while True:
+    lists, links = None, None
+    for seed in range(SEARCHES):
         lists, near = descend(points, lists, seed)
-        recall, extra = _audit(points, near)
         links = near if links is None else near.unionByName(links)
-        links = links.unionByName(extra.select("node", "other"))
-        seed += 1
-        if recall >= RECALL or seed == SEARCHES:
+        roots = kept(connected(links, "node", "other"), "roots")
+        missed = _audit(points.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
+        if not missed:
             break
-    roots = kept(connected(links, "node", "other"), "roots")
+        links = roots.select("node", F.col("root").alias("other"))
+    else:
+        roots = kept(connected(all_links(points), "node", "other"), "roots")
     members = kept(roots.join(classes, "node").select("root", "node", "dim", "vector", "weight", "least"), "members")
     counted = exact_links(members)
     least = members.groupBy("root").agg(F.min("least").alias("component_id"))

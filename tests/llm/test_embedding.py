@@ -110,3 +110,18 @@ def test_links_across_full_lists_join_groups(spark, monkeypatch):
     assert len(set(label[-120:])) == 1 and links[-1] > 2 * embedding.MAX_ROOM
     got = {r.vec_id: (r.n_links, r.component_id) for r in embedding.near_vectors(df).collect()}
     assert got == {i: (int(links[i]), int(label[i])) for i in range(len(unit))}
+
+
+def test_a_search_that_misses_links_ends_in_exact_comparison(spark, monkeypatch):
+    monkeypatch.setattr(embedding, "SEARCHES", 1)
+    monkeypatch.setattr(embedding, "ROUNDS", 0)
+    monkeypatch.setattr(embedding, "TABLES", 1)
+    monkeypatch.setattr(embedding, "REACH", 1)
+    monkeypatch.setattr(embedding, "AUDIT", 200)
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(600, 16))
+    unit = np.concatenate([base, base + rng.normal(size=base.shape) * 0.2]).astype(np.float32).astype(float)
+    df = spark.createDataFrame([(i, [float(y) for y in x], 1, 1, 2.0) for i, x in enumerate(unit)], SCHEMA)
+    links, label = components(unit / np.linalg.norm(unit, axis=1, keepdims=True))
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding.near_vectors(df).collect()}
+    assert got == {i: (int(links[i]), int(label[i])) for i in range(len(unit))} and links.sum() > 1000
