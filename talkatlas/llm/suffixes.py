@@ -15,7 +15,9 @@ Exact copies of a text are one text in these steps (the copy with the smallest i
 are one span each. A gram that more than ``GROUP_ROWS`` suffixes start with is dealt to several tasks:
 each marks the repeats among its own and hands on the suffixes that hold a window not seen before in that task.
 These meet again by their gram and ``STEP`` shy of a whole window of the words around it, at every such shift, so
-suffixes that share less than that never come together, however common their gram.
+suffixes that share less than that never come together, however common their gram. Where more than ``GROUP_ROWS``
+share as much, they are dealt again: each task marks the repeats among its own and hands on its first windows by their
+hash, and the least place of each hash is found by an aggregation. No task holds such a group whole.
 
 Words are separated by ASCII white space and compared by 64-bit (gram) and 32-bit (word) hashes, so
 two different windows count as equal with a chance below 2**-32. NULL and short texts have no window.
@@ -175,7 +177,9 @@ def _complete(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Repeats within groups as (document, start, mask, first_doc); bit i of the mask is the window at start + i.
 
-    Groups that are dealt to several tasks also hand on, with their context, the suffixes of first windows.
+    Groups that are dealt to several tasks also hand on, with their context, the suffixes of first windows; in the
+    second meeting (``left`` is not negative) the first windows with ``left`` to ``left + STEP - 1`` words before
+    the place, by their hash.
     """
     for rows in _complete(batches):
         gram, part = rows.column("gram").to_numpy(), rows.column("part").to_numpy()
@@ -185,6 +189,7 @@ def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         doc, digest = rows.column("doc_id").to_numpy()[order], rows.column("digest").to_numpy()[order]
         place = rows.column("place").to_numpy()[order].astype(np.int64)
         dealt = rows.column("parts").to_numpy()[order] > 1
+        shift = rows.column("left").to_numpy()[order]
         around = texts.raw(rows.column("around"))[0].view(">u4").reshape(-1, 2 * REACH)[order].astype(np.uint32)
         leads = np.zeros(len(doc), bool)
         mask = np.zeros(len(doc), np.int64)
@@ -194,16 +199,29 @@ def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             again = here[later]
             mask[again] |= np.int64(1) << np.int64(REACH - back)
             earliest[again] = np.minimum(earliest[again], doc[first[later]])
-            leads[here[first == here]] = True
+            own = here[first == here]
+            leads[own] = True
+            own = own[dealt[own] & (shift[own] >= 0) & (shift[own] <= back) & (back < shift[own] + STEP)]
+            if len(own):
+                window = _window_hash(gram[own], around[own], back)
+                yield _found(doc[own], digest[own], place[own] - back, mask[own], doc[own], window.view(np.int64))
         hit = np.flatnonzero(mask)
         if len(hit):
             yield _found(doc[hit], digest[hit], place[hit] - REACH, mask[hit], earliest[hit])
-        on = np.flatnonzero(leads & dealt)
+        on = np.flatnonzero(leads & dealt & (shift < 0))
         if len(on):
             contexts = rows.column("around").take(pa.array(order[on])).combine_chunks()
             yield _found(doc[on], digest[on], place[on], mask[on], doc[on], gram[on].view(np.int64), contexts)
 
 
+def _window_hash(gram: np.ndarray, around: np.ndarray, back: int) -> np.ndarray:
+    """Hash of the windows with ``back`` words before the place; ``gram`` stands for the gram itself."""
+    found = texts.mix(gram + np.uint64(back + 1))
+    for column in [*range(back), *range(REACH, 2 * REACH - back)]:
+        found = texts.mix(found + around[:, column].astype(np.uint64) + np.uint64(1))
+    return found
+
+
 FOUND = "doc_id long, digest long, start int, mask long, first_doc long, gram long, around binary"
 
 
@@ -226,21 +244,44 @@ def _found(doc, digest, start, mask, first_doc, gram=None, around=None) -> pa.Re
 def _meet(suffixes: DataFrame, name: str) -> DataFrame:
     """Repeats among the suffixes of each (gram, part)."""
     keys = ["gram", "part"]
-    rows = suffixes.select("doc_id", "digest", "place", "gram", "parts", "around", "part")
+    rows = suffixes.select("doc_id", "digest", "place", "gram", "parts", "around", "part", "left")
     return kept(rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_matches, FOUND), name)
 
 
 def _second_keys() -> Column:
-    """For every shift of STEP windows: a hash of the gram and the words around it that all of them hold."""
+    """For every shift of STEP windows: its words to the left and a hash of the gram and the words that all of them hold."""
     found = []
     for left in range(0, REACH + 1, STEP):
         right = max(0, REACH - left - STEP + 1)
         before = F.substring("around", F.lit(1), F.lit(4 * left))
         after = F.substring("around", F.lit(4 * REACH + 1), F.lit(4 * right))
-        found.append(F.xxhash64("gram", F.lit(left), before, after))
+        found.append(F.struct(F.lit(left).alias("left"), F.xxhash64("gram", F.lit(left), before, after).alias("gram")))
     return F.array(*found)
 
 
+def _meet_again(suffixes: DataFrame) -> DataFrame:
+    """Repeats among the suffixes that were handed on, as (doc_id, digest, start, mask, first_doc)."""
+    marks = ["doc_id", "digest", "start", "mask", "first_doc"]
+    keyed = suffixes.withColumn("key", F.explode(_second_keys())).select(
+        "doc_id", "digest", F.col("start").alias("place"), "key.gram", "key.left", "around"
+    )
+    crowded = keyed.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > GROUP_ROWS)
+    parts = F.coalesce(F.ceil(F.col("n") / F.lit(GROUP_ROWS)), F.lit(1)).cast("int")
+    dealt = keyed.join(kept(crowded, "crowded"), "gram", "left").withColumn("parts", parts)
+    again = _meet(dealt.withColumn("part", F.pmod(F.xxhash64("doc_id", "place"), F.col("parts")).cast("int")), "again")
+    windows = again.where("gram IS NOT NULL").select("gram", "doc_id", "digest", "start")
+    first = kept(
+        windows.groupBy("gram").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1"),
+        "first-windows",
+    )
+    later = (
+        windows.join(first, "gram")
+        .where((F.col("doc_id") != F.col("first.doc_id")) | (F.col("start") != F.col("first.start")))
+        .select("doc_id", "digest", "start", F.lit(1).cast("long").alias("mask"), F.col("first.doc_id").alias("first_doc"))
+    )
+    return again.where("gram IS NULL").select(*marks).unionByName(later)
+
+
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Windows of each document -> its spans: words [start_word, start_word + n_words) and the least first_doc."""
     offset = np.arange(REACH + 1)
@@ -305,13 +346,11 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     contexts = around.select("doc_id", "digest", "text", "spots").mapInArrow(
         _contexts, "doc_id long, digest long, place int, gram long, parts int, around binary"
     )
+    contexts = contexts.withColumn("left", F.lit(-1))
     found = _meet(contexts.withColumn("part", F.pmod(F.xxhash64("doc_id", "place"), F.col("parts")).cast("int")), "found")
     marks = ["doc_id", "digest", "start", "mask", "first_doc"]
-    on = found.where("around IS NOT NULL").withColumn("gram", F.explode(_second_keys()))
-    one = F.lit(1).alias("parts"), F.lit(0).alias("part")
-    again = _meet(on.select("doc_id", "digest", F.col("start").alias("place"), "gram", "around", *one), "again")
+    across = _meet_again(found.where("around IS NOT NULL"))
     inside = found.where("around IS NULL").select(*marks)
-    across = again.select(*marks)
     spans = (
         inside.unionByName(across)
         .groupBy("doc_id", "digest")

@@ -95,3 +95,20 @@ def test_cut_texts_keep_the_first_copy(spark):
 def test_empty_table(spark):
     docs = frame(spark, [(1, "a")]).limit(0)
     assert suffixes.repeated_spans(docs).count() == suffixes.without_repeats(docs).count() == 0
+
+
+def test_no_task_holds_all_copies_of_a_short_passage(spark, monkeypatch):
+    rows, sizes, meet = 20, [], suffixes._meet
+
+    def watched(frame, name):
+        sizes.append(max([r["count"] for r in frame.groupBy("gram", "part").count().collect()], default=0))
+        return meet(frame, name)
+
+    monkeypatch.setattr(suffixes, "GROUP_ROWS", rows)
+    monkeypatch.setattr(suffixes, "_meet", watched)
+    rng = random.Random(3)
+    licence = words(rng, 60)
+    texts = [(k, " ".join(words(rng, 40) + licence + words(rng, 40))) for k in range(400)]
+    got = {tuple(r)[:3] for r in suffixes.repeated_spans(frame(spark, texts)).drop("digest").collect()}
+    assert got == {x[:3] for x in slow_spans(texts)} and len(got) == 399
+    assert len(sizes) == 2 and 0 < max(sizes) <= 3 * rows
