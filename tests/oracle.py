@@ -20,7 +20,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-KINDS = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+KINDS = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
 def _key(row: tuple) -> tuple:
