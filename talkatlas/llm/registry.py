@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkatlas.llm import boilerplate, bpe, embedding, fingerprints, language, packing, quality, simhash, suffixes, warc
+from talkatlas.llm import (
+    boilerplate,
+    bpe,
+    embedding,
+    filters,
+    fingerprints,
+    language,
+    packing,
+    quality,
+    simhash,
+    suffixes,
+    warc,
+)
 from talkatlas.llm.tables import table
 from talkatlas.session import scratch_path
 
@@ -59,6 +71,10 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op12_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filters.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 OP3_SQL = """
 WITH RECURSIVE v AS (
   SELECT vec_id, label, e, sqrt(list_inner_product(e, e)) AS norm
@@ -119,6 +135,38 @@ SELECT doc_id, len(ls)::BIGINT AS n_lines, coalesce(len(gone), 0)::BIGINT AS n_r
 FROM t LEFT JOIN gone USING (doc_id)
 """
 
+OP12_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+m AS (
+  SELECT doc_id, part, t, doc_id > min(doc_id) OVER (PARTITION BY t) AS copy,
+    list_filter(string_split_regex(t, '[ \t-\r]+'), lambda x: x <> '') AS w,
+    length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS capitals FROM d),
+f AS (
+  SELECT part, doc_id, concat(
+    CASE WHEN len(w) < 50 THEN 'A' END, CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' END,
+    CASE WHEN 100 * capitals > 5 * length(t) THEN 'C' END,
+    CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' END, CASE WHEN copy THEN 'E' END) AS fails FROM m),
+l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+c AS (SELECT part, fails, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+      FROM f LEFT JOIN l USING (doc_id) GROUP BY part, fails),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM x a, x b, x c, x d, x e
+      WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (SELECT filter_order, step, filter_order[step] AS own, string_split(filter_order[1:step - 1], '') AS earlier
+      FROM o, (SELECT unnest(range(1, 6)) AS step)),
+r AS (SELECT part, filter_order, step, own, n, good, toxic, fails, contains(fails, own) AS bad,
+        len(list_filter(earlier, lambda e: e <> '' AND contains(fails, e))) > 0 AS gone FROM c, s),
+a AS (
+  SELECT part, filter_order, step, own, coalesce(sum(n) FILTER (NOT gone AND NOT bad), 0) AS kept,
+    coalesce(sum(n) FILTER (NOT gone AND bad), 0) AS removed, coalesce(sum(n) FILTER (gone AND bad), 0) AS redundant,
+    coalesce(sum(n) FILTER (fails = own), 0) AS unique_fails,
+    coalesce(sum(good) FILTER (NOT gone AND bad), 0) AS good_lost,
+    coalesce(sum(toxic) FILTER (NOT gone AND bad), 0) AS toxic_lost FROM r GROUP BY part, filter_order, step, own)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+  redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+  toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM a
+"""
+
 
 QUERIES: dict[str, Run] = {
     "op1_quality": op1_quality,
@@ -131,5 +179,6 @@ QUERIES: dict[str, Run] = {
     "op8_language": op8_language,
     "op9_boilerplate": op9_boilerplate,
     "op10_fingerprints": op10_fingerprints,
+    "op12_filters": op12_filters,
 }
-SQL: dict[str, str] = {"op3_embedding": OP3_SQL, "op5_suffixes": OP5_SQL, "op9_boilerplate": OP9_SQL}
+SQL: dict[str, str] = {"op3_embedding": OP3_SQL, "op5_suffixes": OP5_SQL, "op9_boilerplate": OP9_SQL, "op12_filters": OP12_SQL}
