@@ -15,6 +15,7 @@ from talkatlas.llm import (
     filters,
     fingerprints,
     language,
+    negatives,
     packing,
     quality,
     simhash,
@@ -71,6 +72,12 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 def op12_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filters.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -135,6 +142,25 @@ SELECT doc_id, len(ls)::BIGINT AS n_lines, coalesce(len(gone), 0)::BIGINT AS n_r
 FROM t LEFT JOIN gone USING (doc_id)
 """
 
+OP11_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_inner_product(a.e, b.e)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)),
+p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, (row_number() OVER best)::INT AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)
+QUALIFY row_number() OVER best <= 10
+"""
+
 OP12_SQL = r"""
 WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
 m AS (
@@ -179,6 +205,13 @@ QUERIES: dict[str, Run] = {
     "op8_language": op8_language,
     "op9_boilerplate": op9_boilerplate,
     "op10_fingerprints": op10_fingerprints,
+    "op11_negatives": op11_negatives,
     "op12_filters": op12_filters,
 }
-SQL: dict[str, str] = {"op3_embedding": OP3_SQL, "op5_suffixes": OP5_SQL, "op9_boilerplate": OP9_SQL, "op12_filters": OP12_SQL}
+SQL: dict[str, str] = {
+    "op3_embedding": OP3_SQL,
+    "op5_suffixes": OP5_SQL,
+    "op9_boilerplate": OP9_SQL,
+    "op11_negatives": OP11_SQL,
+    "op12_filters": OP12_SQL,
+}
