@@ -21,6 +21,7 @@ from talkatlas.llm import (
     simhash,
     suffixes,
     warc,
+    windows,
 )
 from talkatlas.llm.tables import table
 from talkatlas.session import scratch_path
@@ -82,6 +83,10 @@ def op12_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filters.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windows.removals(table(spark, sf_dir, "documents"))
+
+
 OP3_SQL = """
 WITH RECURSIVE v AS (
   SELECT vec_id, label, e, sqrt(list_inner_product(e, e)) AS norm
@@ -193,6 +198,20 @@ SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIG
   toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM a
 """
 
+OP13_SQL = r"""
+WITH t AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[ \t-\r]+'), lambda x: x <> '') AS w FROM documents),
+spots AS (
+  SELECT doc_id, s, md5(array_to_string(list_slice(w, s + 1, s + 50), ' ')) AS words
+  FROM (SELECT doc_id, w, unnest(range(len(w) - 49)) AS s FROM t WHERE len(w) >= 50)),
+again AS (SELECT doc_id, s FROM spots QUALIFY doc_id > min(doc_id) OVER (PARTITION BY words)),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 50)) AS k FROM again),
+left_over AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY k) AS kept, count(*) AS n
+  FROM (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS k FROM t) ANTI JOIN gone USING (doc_id, k) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM t LEFT JOIN left_over USING (doc_id)
+"""
+
 
 QUERIES: dict[str, Run] = {
     "op1_quality": op1_quality,
@@ -207,6 +226,7 @@ QUERIES: dict[str, Run] = {
     "op10_fingerprints": op10_fingerprints,
     "op11_negatives": op11_negatives,
     "op12_filters": op12_filters,
+    "op13_windows": op13_windows,
 }
 SQL: dict[str, str] = {
     "op3_embedding": OP3_SQL,
@@ -214,4 +234,5 @@ SQL: dict[str, str] = {
     "op9_boilerplate": OP9_SQL,
     "op11_negatives": OP11_SQL,
     "op12_filters": OP12_SQL,
+    "op13_windows": OP13_SQL,
 }
