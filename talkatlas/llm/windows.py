@@ -276,12 +276,16 @@ class Repeats:
 
     def shared(self) -> DataFrame:
         """``window, n, least``: windows of half a passage that stand in two documents at least, their rows and least id."""
-        halves = self.different.select("doc_id", F.explode("halves").alias("window"))
+        halves = self.sketch.where("doc_id IS NOT NULL").select(*KEY, F.explode("halves").alias("window"))
         return kept(_in_two(halves.groupBy("window")), "shared")
 
-    def settled(self, shared: DataFrame) -> DataFrame:
-        """``doc_id, digest, words, window``: selected windows of a passage and more that an earlier document holds."""
-        spots = kept(self.different.select(*KEY, F.explode("longer").alias("s")).select(*KEY, "s.*"), "levels")
+    def settled(self, shared: DataFrame, spots: DataFrame) -> DataFrame:
+        """``doc_id, digest, words, window``: selected windows of a passage and more that an earlier document holds.
+
+        Only the documents of ``spots`` can hold one: those that share a window of the first level.
+        """
+        longer = self.sketch.join(spots, KEY, "left_semi").dropDuplicates(KEY).select(*KEY, F.explode("longer").alias("s"))
+        spots = kept(longer.select(*KEY, "s.*"), "levels")
         found = spots.where("false").select(*KEY, "words", "window")
         size = self.passage
         while True:
@@ -303,7 +307,8 @@ class Repeats:
             .groupBy(*KEY)
             .agg(F.collect_list(F.struct("window", "groups")).alias("spots"))
         )
-        settled = self.settled(shared).groupBy(*KEY).agg(F.collect_list(F.struct("words", "window")).alias("settled"))
+        spots = kept(spots, "spots")
+        settled = self.settled(shared, spots).groupBy(*KEY).agg(F.collect_list(F.struct("words", "window")).alias("settled"))
         found = self.rows.where("doc_id IS NOT NULL").join(spots.join(settled, KEY, "left").hint("shuffle_hash"), KEY)
         return kept(found.select(*KEY, "text", "spots", F.coalesce("settled", F.array()).alias("settled")), "sharing")
 
@@ -332,9 +337,15 @@ class Repeats:
 
 
 def _in_two(grouped) -> DataFrame:
-    """Windows that stand in two documents at least, with the number of their rows and the least id."""
-    found = grouped.agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("_most"), F.count(F.lit(1)).alias("n"))
-    return found.where("least < _most").select("window", "n", "least")
+    """Windows that stand in two texts of different documents at least, with the number of their rows and the least id."""
+    found = grouped.agg(
+        F.min("doc_id").alias("least"),
+        F.max("doc_id").alias("_most"),
+        F.min("digest").alias("_low"),
+        F.max("digest").alias("_high"),
+        F.count(F.lit(1)).alias("n"),
+    )
+    return found.where("least < _most AND _low < _high").select("window", "n", "least")
 
 
 def removals(
