@@ -12,12 +12,10 @@ a document are merged into spans; removing the spans leaves the first copy of ev
    each run of suffixes that agree far enough to the right the match is extended to the left.
 
 Exact copies of a text are one text in these steps (the copy with the smallest id); the other copies
-are one span each. A gram that more than ``GROUP_ROWS`` suffixes start with is dealt to several tasks:
-each marks the repeats among its own and hands on the suffixes that hold a window not seen before in that task.
-These meet again by their gram and ``STEP`` shy of a whole window of the words around it, at every such shift, so
-suffixes that share less than that never come together, however common their gram. Where more than ``GROUP_ROWS``
-share as much, they are dealt again: each task marks the repeats among its own and hands on its first windows by their
-hash, and the least place of each hash is found by an aggregation. No task holds such a group whole.
+are one span each. Places of a document with the same gram and context are one suffix with a list of places, so a line that a
+document repeats is compared once. A gram that more than ``GROUP_ROWS`` suffixes start with is not sorted in one
+task: there every window is a row of its own, and the least place of each window's hash is found by an aggregation.
+Both ways give the same spans and the same first documents.
 
 Words are separated by ASCII white space and compared by 64-bit (gram) and 32-bit (word) hashes, so
 two different windows count as equal with a chance below 2**-32. NULL and short texts have no window.
@@ -39,8 +37,7 @@ from talkatlas.llm.tables import kept
 PASSAGE = 50
 GRAM = 16
 REACH = PASSAGE - GRAM  # words of context on either side that windows around a place can cover
-GROUP_ROWS = 4000
-STEP = 5  # windows of so many neighbouring shifts share one key of the second meeting
+GROUP_ROWS = 50_000  # suffixes of one gram in one task, some 15 MB of context
 FLAT_ROWS = 20_000
 
 
@@ -89,7 +86,8 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words around the places of each document: REACH to the left, nearest first, and REACH after the gram.
 
-    Words are 32-bit hashes over 0; 0 stands for no word.
+    Words are 32-bit hashes over 0; 0 stands for no word. ``place`` is the first place of a document with this gram and
+    context, ``more`` are the others.
     """
     step = np.arange(REACH)
     for batch in batches:
@@ -102,28 +100,53 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             holds = batch.column(3).slice(lo, hi - lo)
             spots = holds.flatten()
             owner = np.repeat(np.arange(hi - lo), holds.value_lengths().to_numpy())
-            for at in range(0, len(owner), FLAT_ROWS):
-                row, part = owner[at : at + FLAT_ROWS], spots.slice(at, FLAT_ROWS)
-                place = part.field(0).to_numpy()[:, None] + words.first[row][:, None]
-                left, right = place - 1 - step, place + GRAM + step
+            for low, high in _runs(owner):
+                row, part = owner[low:high], spots.slice(low, high - low)
+                place, gram = part.field(0).to_numpy().astype(np.int64), part.field(1).to_numpy()
+                at = (place + words.first[row])[:, None]
+                left, right = at - 1 - step, at + GRAM + step
                 left = np.where(left >= words.first[row][:, None], left, none)
                 right = np.where(right < words.first[row + 1][:, None], right, none)
                 around = hashes[np.concatenate([left, right], axis=1)].astype(">u4")
+                order, opens = _same(row, gram, around)
+                lead, counts = order[opens], np.diff(np.append(opens, len(order))) - 1
+                rest = np.delete(order, opens)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(ids[lo + row], pa.int64()),
-                        pa.array(digests[lo + row], pa.int64()),
-                        part.field(0),
-                        part.field(1),
-                        part.field(2),
+                        pa.array(ids[lo + row[lead]], pa.int64()),
+                        pa.array(digests[lo + row[lead]], pa.int64()),
+                        pa.array(place[lead], pa.int32()),
+                        _ragged(place[rest].astype(np.int32), counts, pa.int32()),
+                        pa.array(gram[lead], pa.int64()),
                         pa.FixedSizeBinaryArray.from_buffers(
-                            pa.binary(8 * REACH), len(row), [None, pa.py_buffer(around.tobytes())]
+                            pa.binary(8 * REACH), len(lead), [None, pa.py_buffer(around[lead].tobytes())]
                         ).cast(pa.binary()),
                     ],
-                    ["doc_id", "digest", "place", "gram", "parts", "around"],
+                    [c.split()[0] for c in CONTEXT.split(", ")],
                 )
 
 
+def _runs(owner: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of about FLAT_ROWS entries; a document is split only if it alone has more."""
+    at = 0
+    while at < len(owner):
+        stop = min(len(owner), at + FLAT_ROWS)
+        if stop < len(owner):
+            whole = int(np.searchsorted(owner, owner[stop], side="left"))
+            stop = whole if whole > at else stop
+        yield at, stop
+        at = stop
+
+
+def _same(row: np.ndarray, gram: np.ndarray, around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order in which equal suffixes of a document follow one another by place, and where each of them opens."""
+    flat = np.ascontiguousarray(around).view(np.dtype((np.void, 8 * REACH))).ravel()
+    context = np.unique(flat, return_inverse=True)[1].ravel()
+    order = np.lexsort((np.arange(len(row)), context, gram, row))
+    key = np.stack([row[order], gram[order], context[order]])
+    return order, np.flatnonzero(np.concatenate([[True], (key[:, 1:] != key[:, :-1]).any(axis=0)]))
+
+
 def match(group: np.ndarray, around: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Equal windows of suffixes that are given in the order of their places.
 
@@ -157,61 +180,83 @@ def match(group: np.ndarray, around: np.ndarray) -> Iterator[tuple[int, np.ndarr
 
 
 def _complete(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Batches sorted by (gram, part), re-cut so that no group is split; groups are of bounded size."""
+    """Batches sorted by gram, re-cut so that no group is split; groups are of bounded size."""
     held: list[pa.RecordBatch] = []
+    size = 0
     for batch in batches:
         if not batch.num_rows:
             continue
         held.append(batch)
+        size += batch.num_rows
+        if size < FLAT_ROWS:
+            continue
         rows = pa.Table.from_batches(held).combine_chunks()
-        gram, part = rows.column("gram").to_numpy(), rows.column("part").to_numpy()
-        change = np.flatnonzero((gram[1:] != gram[:-1]) | (part[1:] != part[:-1]))
-        if len(change) and rows.num_rows >= FLAT_ROWS // 2:
+        gram = rows.column("gram").to_numpy()
+        change = np.flatnonzero(gram[1:] != gram[:-1])
+        if len(change):
             cut = int(change[-1]) + 1
             yield rows.slice(0, cut)
-            held = rows.slice(cut).to_batches()
+            rows = rows.slice(cut)
+        held, size = rows.to_batches(), rows.num_rows
     if held:
         yield pa.Table.from_batches(held).combine_chunks()
 
 
-def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Repeats within groups as (document, start, mask, first_doc); bit i of the mask is the window at start + i.
+def _around(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    return texts.raw(column)[0].view(">u4").reshape(-1, 2 * REACH).astype(np.uint32)
 
-    Groups that are dealt to several tasks also hand on, with their context, the suffixes of first windows; in the
-    second meeting (``left`` is not negative) the first windows with ``left`` to ``left + STEP - 1`` words before
-    the place, by their hash.
-    """
+
+def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Repeats among the suffixes of each gram as (document, starts, mask, first_doc); bit i of the mask is the window at start + i."""
     for rows in _complete(batches):
-        gram, part = rows.column("gram").to_numpy(), rows.column("part").to_numpy()
-        group = np.concatenate([[0], np.cumsum((gram[1:] != gram[:-1]) | (part[1:] != part[:-1]))])
         order = np.lexsort((rows.column("place").to_numpy(), rows.column("doc_id").to_numpy()))
-        group, gram = group[order], gram[order].view(np.uint64)
-        doc, digest = rows.column("doc_id").to_numpy()[order], rows.column("digest").to_numpy()[order]
-        place = rows.column("place").to_numpy()[order].astype(np.int64)
-        dealt = rows.column("parts").to_numpy()[order] > 1
-        shift = rows.column("left").to_numpy()[order]
-        around = texts.raw(rows.column("around"))[0].view(">u4").reshape(-1, 2 * REACH)[order].astype(np.uint32)
-        leads = np.zeros(len(doc), bool)
-        mask = np.zeros(len(doc), np.int64)
-        earliest = np.full(len(doc), np.iinfo(np.int64).max)
-        for back, here, first in match(group, around):
-            later = (doc[here] != doc[first]) | (place[here] != place[first])
+        rows = rows.take(pa.array(order)).combine_chunks()
+        group = np.unique(rows.column("gram").to_numpy(), return_inverse=True)[1]
+        doc, digest = rows.column("doc_id").to_numpy(), rows.column("digest").to_numpy()
+        place = rows.column("place").to_numpy().astype(np.int64)
+        every, mask = np.zeros(len(doc), np.int64), np.zeros(len(doc), np.int64)
+        source, earliest = np.full((2, len(doc)), LONG_MAX)
+        for back, here, first in match(group, _around(rows.column("around"))):
+            bit = np.int64(1) << np.int64(REACH - back)
+            every[here] |= bit
+            source[here] = np.minimum(source[here], doc[first])
+            later = here != first
             again = here[later]
-            mask[again] |= np.int64(1) << np.int64(REACH - back)
+            mask[again] |= bit
             earliest[again] = np.minimum(earliest[again], doc[first[later]])
-            own = here[first == here]
-            leads[own] = True
-            own = own[dealt[own] & (shift[own] >= 0) & (shift[own] <= back) & (back < shift[own] + STEP)]
-            if len(own):
-                window = _window_hash(gram[own], around[own], back)
-                yield _found(doc[own], digest[own], place[own] - back, mask[own], doc[own], window.view(np.int64))
         hit = np.flatnonzero(mask)
-        if len(hit):
-            yield _found(doc[hit], digest[hit], place[hit] - REACH, mask[hit], earliest[hit])
-        on = np.flatnonzero(leads & dealt & (shift < 0))
-        if len(on):
-            contexts = rows.column("around").take(pa.array(order[on])).combine_chunks()
-            yield _found(doc[on], digest[on], place[on], mask[on], doc[on], gram[on].view(np.int64), contexts)
+        one = np.ones(len(hit), np.int64)
+        yield _found(doc[hit], digest[hit], _ragged((place[hit] - REACH).astype(np.int32), one, pa.int32()), mask[hit], earliest[hit])
+        # The other places of a suffix repeat each of its windows.
+        more = rows.column("more").combine_chunks()
+        counts = more.value_lengths().to_numpy()
+        on = np.flatnonzero((counts > 0) & (every != 0))
+        starts = more.take(pa.array(on))
+        starts = _ragged(starts.flatten().to_numpy() - REACH, counts[on], pa.int32())
+        yield _found(doc[on], digest[on], starts, every[on], source[on])
+
+
+def _single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every window of every suffix as (window, doc_id, digest, start, more); ``more`` are its other starts in the document."""
+    for batch in batches:
+        doc, digest = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        place, gram = batch.column(2).to_numpy(), batch.column(4).to_numpy().view(np.uint64)
+        around = _around(batch.column(5))
+        n_left, n_right = ((side != 0).sum(axis=1) for side in (around[:, :REACH], around[:, REACH:]))
+        for back in range(REACH + 1):
+            rows = np.flatnonzero((n_left >= back) & (n_right >= REACH - back))
+            more = batch.column(3).take(pa.array(rows))
+            counts = more.value_lengths().to_numpy()
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(_window_hash(gram[rows], around[rows], back).view(np.int64)),
+                    pa.array(doc[rows], pa.int64()),
+                    pa.array(digest[rows], pa.int64()),
+                    pa.array(place[rows] - np.int32(back), pa.int32()),
+                    _ragged(more.flatten().to_numpy() - np.int32(back), counts, pa.int32()),
+                ],
+                ["window", "doc_id", "digest", "start", "more"],
+            )
 
 
 def _window_hash(gram: np.ndarray, around: np.ndarray, back: int) -> np.ndarray:
@@ -222,64 +267,28 @@ def _window_hash(gram: np.ndarray, around: np.ndarray, back: int) -> np.ndarray:
     return found
 
 
-FOUND = "doc_id long, digest long, start int, mask long, first_doc long, gram long, around binary"
-
-
-def _found(doc, digest, start, mask, first_doc, gram=None, around=None) -> pa.RecordBatch:
-    n = len(doc)
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(doc, pa.int64()),
-            pa.array(digest, pa.int64()),
-            pa.array(start.astype(np.int32), pa.int32()),
-            pa.array(mask, pa.int64()),
-            pa.array(first_doc, pa.int64()),
-            pa.nulls(n, pa.int64()) if gram is None else pa.array(gram, pa.int64()),
-            pa.nulls(n, pa.binary()) if around is None else around.cast(pa.binary()),
-        ],
-        [c.split()[0] for c in FOUND.split(", ")],
-    )
+CONTEXT = "doc_id long, digest long, place int, more array<int>, gram long, around binary"
+FOUND = "doc_id long, digest long, starts array<int>, mask long, first_doc long"
+LONG_MAX = np.iinfo(np.int64).max
 
 
-def _meet(suffixes: DataFrame, name: str) -> DataFrame:
-    """Repeats among the suffixes of each (gram, part)."""
-    keys = ["gram", "part"]
-    rows = suffixes.select("doc_id", "digest", "place", "gram", "parts", "around", "part", "left")
-    return kept(rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_matches, FOUND), name)
+def _found(doc, digest, starts: pa.Array, mask, first_doc) -> pa.RecordBatch:
+    columns = [pa.array(doc, pa.int64()), pa.array(digest, pa.int64()), starts, pa.array(mask, pa.int64()), pa.array(first_doc, pa.int64())]
+    return pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in FOUND.split(", ")])
 
 
-def _second_keys() -> Column:
-    """For every shift of STEP windows: its words to the left and a hash of the gram and the words that all of them hold."""
-    found = []
-    for left in range(0, REACH + 1, STEP):
-        right = max(0, REACH - left - STEP + 1)
-        before = F.substring("around", F.lit(1), F.lit(4 * left))
-        after = F.substring("around", F.lit(4 * REACH + 1), F.lit(4 * right))
-        found.append(F.struct(F.lit(left).alias("left"), F.xxhash64("gram", F.lit(left), before, after).alias("gram")))
-    return F.array(*found)
-
-
-def _meet_again(suffixes: DataFrame) -> DataFrame:
-    """Repeats among the suffixes that were handed on, as (doc_id, digest, start, mask, first_doc)."""
-    marks = ["doc_id", "digest", "start", "mask", "first_doc"]
-    keyed = suffixes.withColumn("key", F.explode(_second_keys())).select(
-        "doc_id", "digest", F.col("start").alias("place"), "key.gram", "key.left", "around"
-    )
-    crowded = keyed.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > GROUP_ROWS)
-    parts = F.coalesce(F.ceil(F.col("n") / F.lit(GROUP_ROWS)), F.lit(1)).cast("int")
-    dealt = keyed.join(kept(crowded, "crowded"), "gram", "left").withColumn("parts", parts)
-    again = _meet(dealt.withColumn("part", F.pmod(F.xxhash64("doc_id", "place"), F.col("parts")).cast("int")), "again")
-    windows = again.where("gram IS NOT NULL").select("gram", "doc_id", "digest", "start")
-    first = kept(
-        windows.groupBy("gram").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1"),
-        "first-windows",
+def _by_windows(contexts: DataFrame) -> DataFrame:
+    """What :func:`_matches` finds, for grams of any number of suffixes: window by window."""
+    windows = kept(contexts.mapInArrow(_single, "window long, doc_id long, digest long, start int, more array<int>"), "windows")
+    place = F.struct("doc_id", "start")
+    repeated = (F.count(F.lit(1)) > 1) | F.max(F.size("more") > 0)
+    first = windows.groupBy("window").agg(F.min(place).alias("first"), repeated.alias("repeated")).where("repeated")
+    later = F.when(place != F.col("first"), F.array("start")).otherwise(F.array().cast("array<int>"))
+    return (
+        windows.join(kept(first, "first-windows"), "window")
+        .select("doc_id", "digest", F.concat(later, "more").alias("starts"), F.lit(1).cast("long").alias("mask"), F.col("first.doc_id").alias("first_doc"))
+        .where(F.size("starts") > 0)
     )
-    later = (
-        windows.join(first, "gram")
-        .where((F.col("doc_id") != F.col("first.doc_id")) | (F.col("start") != F.col("first.start")))
-        .select("doc_id", "digest", "start", F.lit(1).cast("long").alias("mask"), F.col("first.doc_id").alias("first_doc"))
-    )
-    return again.where("gram IS NULL").select(*marks).unionByName(later)
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,7 +297,10 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         owner, spans = [], []
         for row, found in enumerate(batch.column(2)):
-            start, mask, first_doc = (found.values.field(k).to_numpy() for k in range(3))
+            listed, mask, first_doc = (found.values.field(k) for k in range(3))
+            counts = listed.value_lengths().to_numpy()
+            start = listed.flatten().to_numpy()
+            mask, first_doc = (np.repeat(c.to_numpy(), counts) for c in (mask, first_doc))
             rows, bit = np.nonzero((mask[:, None] >> offset) & 1)
             begin = start[rows].astype(np.int64) + bit
             order = np.argsort(begin, kind="stable")
@@ -315,9 +327,8 @@ def _digest(text: str) -> Column:
 def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, digest, start_word, n_words, first_doc_id``: the repeated spans of every document.
 
-    ``first_doc_id`` is the smallest id of a document that holds a window of the span earlier (for a gram that
-    is dealt to several tasks: of those in one task); it is the document itself if only that repeats the
-    passage, and for an exact copy the first copy. ``digest`` tells texts with one id apart.
+    ``first_doc_id`` is the smallest id of a document that holds a window of the span earlier; it is the document
+    itself if only that repeats the passage, and for an exact copy the first copy. ``digest`` tells texts with one id apart.
     """
     rows = docs.where(F.col(doc_id).isNotNull()).select(
         F.col(doc_id).cast("long").alias("doc_id"),
@@ -336,25 +347,22 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         "suffixes",
     )
     shared = kept(suffixes.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
-    parts = F.ceil(F.col("n") / F.lit(GROUP_ROWS)).cast("int")
     wanted = (
         suffixes.join(shared, "gram")
         .groupBy("doc_id", "digest")
-        .agg(F.sort_array(F.collect_list(F.struct("place", "gram", parts.alias("parts")))).alias("spots"))
+        .agg(F.sort_array(F.collect_list(F.struct("place", "gram"))).alias("spots"))
     )
     around = rows.join(wanted.hint("shuffle_hash"), ["doc_id", "digest"])
-    contexts = around.select("doc_id", "digest", "text", "spots").mapInArrow(
-        _contexts, "doc_id long, digest long, place int, gram long, parts int, around binary"
-    )
-    contexts = contexts.withColumn("left", F.lit(-1))
-    found = _meet(contexts.withColumn("part", F.pmod(F.xxhash64("doc_id", "place"), F.col("parts")).cast("int")), "found")
-    marks = ["doc_id", "digest", "start", "mask", "first_doc"]
-    across = _meet_again(found.where("around IS NOT NULL"))
-    inside = found.where("around IS NULL").select(*marks)
+    contexts = kept(around.select("doc_id", "digest", "text", "spots").mapInArrow(_contexts, CONTEXT), "contexts")
+    sizes = contexts.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    crowded = kept(sizes.where(F.col("n") > GROUP_ROWS).select("gram"), "crowded")
+    met = contexts.join(crowded, "gram", "left_anti").select(*contexts.columns)
+    found = met.repartition("gram").sortWithinPartitions("gram").mapInArrow(_matches, FOUND)
+    across = contexts.join(crowded, "gram", "left_semi").select(*contexts.columns)
     spans = (
-        inside.unionByName(across)
+        found.unionByName(_by_windows(across))
         .groupBy("doc_id", "digest")
-        .agg(F.collect_list(F.struct("start", "mask", "first_doc")).alias("found"))
+        .agg(F.collect_list(F.struct("starts", "mask", "first_doc")).alias("found"))
         .mapInArrow(_merge, "doc_id long, digest long, start_word long, n_words long, first_doc_id long")
     )
     copies = (
