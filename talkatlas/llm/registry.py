@@ -123,22 +123,10 @@ SELECT doc_id, 0::BIGINT, len(w)::BIGINT, first_copy FROM t WHERE doc_id <> firs
 """
 
 OP9_SQL = r"""
-WITH t AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS first_id, source, string_split(text, chr(10)) AS ls
-           FROM documents),
-l AS (SELECT doc_id, first_id, source, md5(line) AS line, line AS body, line_no
-      FROM (SELECT doc_id, first_id, source, unnest(ls) AS line, generate_subscripts(ls, 1) - 1 AS line_no FROM t)),
-longest AS (SELECT doc_id, line, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, line) AS r
-            FROM (SELECT DISTINCT doc_id, line, length(body) AS n FROM l)),
-counted AS (SELECT DISTINCT l.doc_id, l.source, l.line,
-                   CASE WHEN a.line <> l.line THEN a.line ELSE coalesce(b.line, 'none') END AS setting
-            FROM l JOIN longest a ON a.doc_id = l.doc_id AND a.r = 1
-                   LEFT JOIN longest b ON b.doc_id = l.doc_id AND b.r = 2
-            WHERE l.doc_id = l.first_id AND regexp_matches(l.body, '[\p{L}\p{N}]')),
-common AS (SELECT line FROM (SELECT line, setting, count(*) AS n FROM counted GROUP BY ALL)
-           GROUP BY line HAVING 2 * max(n) <= sum(n)),
-spread AS (SELECT line FROM counted GROUP BY line HAVING count(DISTINCT source) >= 10),
-found AS (SELECT line, min({'a': l.doc_id, 'b': line_no}) AS first
-          FROM l JOIN common USING (line) JOIN spread USING (line) WHERE doc_id = first_id GROUP BY line),
+WITH t AS (SELECT doc_id, source, string_split(text, chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, source, unnest(ls) AS line, generate_subscripts(ls, 1) - 1 AS line_no FROM t),
+found AS (SELECT line, min({'a': doc_id, 'b': line_no}) AS first FROM l
+          WHERE regexp_matches(line, '[\p{L}\p{N}]') GROUP BY line HAVING count(DISTINCT source) >= 10),
 gone AS (SELECT doc_id, list(line_no) AS gone
          FROM l JOIN found USING (line) WHERE {'a': doc_id, 'b': line_no} <> first GROUP BY doc_id)
 SELECT doc_id, len(ls)::BIGINT AS n_lines, coalesce(len(gone), 0)::BIGINT AS n_removed,
