@@ -36,11 +36,15 @@ HEADLINE = [
     "classify_knn",
     "knn_grid",
     "tfidf_spark_ml",
-    "grid_results",
+    "hashing_tf",
+    "embed_hashed",
+    "classify_svc",
+    "classify_rf",
+    "classify_gbt",
     "lemma_lookup",
     "preprocess_column",
 ]
-ONCE = {"grid_results"}
+ONCE = {"classify_svc", "classify_rf", "classify_gbt"}  # full grids, five folds and the refit
 SWEEP = [4, 8, 20]
 
 

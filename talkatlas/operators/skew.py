@@ -3,17 +3,30 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from talkatlas.session import cut
+from talkatlas.session import stored
 
+LOOKUP_BYTES = 8 << 20
 
-def skew_join(df: DataFrame, lookup: DataFrame, key: str, how: str = "inner") -> DataFrame:
+
+def measured_bytes(lookup: DataFrame) -> int:
+    """Bytes of a written table in memory: 16 for each value and what its strings, arrays and the like hold besides."""
+    wide = [c for c, kind in lookup.dtypes if kind in ("string", "binary") or not kind.isalpha()]
+    extra = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in wide]
+    row = sum(extra, F.lit(16 * len(lookup.columns)))
+    return lookup.agg(F.coalesce(F.sum(row), F.lit(0))).first()[0]
+
+
+def skew_join(df: DataFrame, lookup: DataFrame, key: str, how: str = "inner", lookup_bytes: int = LOOKUP_BYTES) -> DataFrame:
     """Join ``df`` to ``lookup``, which has one row per key.
 
-    The lookup is written once, which gives Spark its measured size: a small one is broadcast and
-    ``df`` is not shuffled. A large one meets ``df`` in a sort-merge join whose two
-    sides both come from an exchange of their own, the form in which adaptive execution splits
-    a partition that is too large by bytes, so a hot key (or the NULL key of a left join) is
-    spread over many tasks however small its share is. Each side is scanned once.
+    The lookup is written once and measured. Up to ``lookup_bytes`` it is broadcast and ``df`` is not shuffled. A larger one is
+    never broadcast: it meets ``df`` in a sort-merge join whose two sides both come from an exchange of their own, the form in
+    which adaptive execution splits a partition that is too large by bytes, so a hot key (or the NULL key of a
+    left join) is spread over many tasks.
     """
-    return df.join(cut(lookup), key, how)
+    written = stored(lookup, "lookup")
+    if measured_bytes(written) <= lookup_bytes:
+        return df.join(F.broadcast(written), key, how)
+    return df.join(written.hint("merge"), key, how)

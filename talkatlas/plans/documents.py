@@ -39,10 +39,11 @@ def recommend_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _bucket_totals(spark: SparkSession, sf_dir: str, vector: str) -> DataFrame:
     """Sum of a hashed vector per category, in long form."""
-    docs = spread_transcripts(spark, sf_dir)
+    docs = spread_transcripts(spark, sf_dir).dropna(subset=["transcript"])
     vectors = X.fit_tfidf(docs, "transcript").transform(docs)
     sums = vectors.groupBy("category").agg(vector_to_array(Summarizer.sum(F.col(vector))).alias("total"))
-    return sums.select("category", F.posexplode("total").alias("bucket", "total")).where(F.col("total") != 0)
+    totals = sums.select("category", F.posexplode("total").alias("bucket", "total")).where(F.col("total") != 0)
+    return totals.select("category", F.col("bucket").cast("bigint").alias("bucket"), F.round("total", 6).alias("total"))
 
 
 def hashing_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,6 +118,13 @@ def embed_word2vec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.embed_word2vec(spread_transcripts(spark, sf_dir), "doc_id", "transcript", dim=32)
 
 
+def embed_hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every value that is not zero."""
+    embedded = E.embed_hashed(spread_transcripts(spark, sf_dir), "doc_id", "transcript")
+    values = embedded.select("doc_id", F.posexplode("embedding").alias("dim", "value")).where("value <> 0")
+    return values.select("doc_id", F.col("dim").cast("bigint").alias("dim"), "value")
+
+
 # --- SQL twins -------------------------------------------------------------------
 
 _POSTINGS = r"""counts AS (
@@ -171,6 +179,39 @@ def _summary_sql(source: str) -> str:
     SELECT t.doc_id, coalesce(summary, '') AS summary FROM tokens t LEFT JOIN kept k ON t.doc_id = k.doc_id"""
 
 
+def _mixed(k: str) -> str:
+    a = f"(({k}) * 3432918353 % 4294967296)"
+    return f"(xor({a} * 32768 % 4294967296, {a} // 131072) * 461845907 % 4294967296)"
+
+
+def _step(h: str, k: str) -> str:
+    x = f"xor({h}, {_mixed(k)})"
+    return f"((xor({x} * 8192 % 4294967296, {x} // 524288) * 5 + 3864292196) % 4294967296)"
+
+
+# The hash of the feature hasher (MurmurHash3, 32 bits, seed 42), spelled in SQL over the bytes of every different token.
+_BUCKETS = f"""texts AS (
+  SELECT doc_id, category, lower(transcript) AS t, regexp_replace(lower(transcript), '[ \t\n\x0B\f\r]+$', '') AS bare
+  FROM {TRANSCRIPTS} WHERE transcript IS NOT NULL),
+tokens AS (
+  SELECT doc_id, category, token, count(*) AS tf FROM (
+    SELECT doc_id, category, unnest(CASE WHEN bare = '' AND t <> '' THEN [] ELSE string_split_regex(bare, '[ \t\n\x0B\f\r]') END) AS token
+    FROM texts) GROUP BY ALL),
+bytes AS (SELECT token, hex(encode(token)) AS x, octet_length(encode(token)) AS n FROM (SELECT DISTINCT token FROM tokens)),
+words AS (
+  SELECT token, n, list_transform(range(n // 4), lambda i:
+      ('0x' || x[8*i+7:8*i+8] || x[8*i+5:8*i+6] || x[8*i+3:8*i+4] || x[8*i+1:8*i+2])::UBIGINT) AS ws,
+    CASE WHEN n % 4 = 0 THEN 0::UBIGINT ELSE ('0x' || CASE WHEN n % 4 = 3 THEN x[2*n-1:2*n] ELSE '' END
+      || CASE WHEN n % 4 = 3 THEN x[2*n-3:2*n-2] WHEN n % 4 = 2 THEN x[2*n-1:2*n] ELSE '' END
+      || x[8*(n//4)+1:8*(n//4)+2])::UBIGINT END AS tail FROM bytes),
+h1 AS (SELECT token, n, tail, list_reduce(list_prepend(42::UBIGINT, ws), lambda h, k: {_step("h", "k")}) AS h FROM words),
+h2 AS (SELECT token, xor(xor(h, {_mixed("tail")}), n::UBIGINT) AS h FROM h1),
+h3 AS (SELECT token, xor(h, h // 65536) * 2246822507 % 4294967296 AS h FROM h2),
+h4 AS (SELECT token, xor(h, h // 8192) * 3266489909 % 4294967296 AS h FROM h3),
+h5 AS (SELECT token, xor(h, h // 65536)::BIGINT AS h FROM h4),
+places AS (SELECT token, ((h - CASE WHEN h >= 2147483648 THEN 4294967296 ELSE 0 END) % 1000 + 1000) % 1000 AS bucket FROM h5),
+hashed AS (SELECT doc_id, category, bucket, sum(tf) AS tf FROM tokens JOIN places USING (token) GROUP BY ALL)"""
+
 _SAMPLE = f"(SELECT * FROM {TRANSCRIPTS} ORDER BY md5('42:' || doc_id), doc_id LIMIT 10)"
 _LETTER_COUNTS = ", ".join(f"length(transcript) - length(replace(transcript, '{c}', ''))" for c in LETTERS)
 
@@ -201,8 +242,15 @@ QUERIES: dict[str, Query] = {
           SELECT *, row_number() OVER (PARTITION BY query_category ORDER BY sim DESC, doc_id) AS rank FROM scored)
         SELECT * FROM ranked WHERE rank <= 9""",
     ),
-    "hashing_tf": Query(hashing_tf),
-    "tfidf_spark_ml": Query(tfidf_spark_ml),
+    "hashing_tf": Query(
+        hashing_tf, f"WITH {_BUCKETS} SELECT category, bucket, sum(tf)::DOUBLE AS total FROM hashed GROUP BY ALL"
+    ),
+    "tfidf_spark_ml": Query(
+        tfidf_spark_ml,
+        f"""WITH {_BUCKETS}, weighed AS (
+          SELECT category, bucket, tf * ln(((SELECT count(*) FROM texts) + 1) / (count(*) OVER (PARTITION BY bucket) + 1)) AS w FROM hashed)
+        SELECT category, bucket, round(sum(w), 6) AS total FROM weighed GROUP BY ALL HAVING sum(w) <> 0""",
+    ),
     "chunk_plan": Query(
         chunk_plan,
         f"WITH {_chunks(TRANSCRIPTS)} SELECT doc_id, chunk_ix, chunk_start, chunk_length, budget FROM chunks",
@@ -235,4 +283,14 @@ QUERIES: dict[str, Query] = {
         FROM {TRANSCRIPTS}""",
     ),
     "embed_word2vec": Query(embed_word2vec),
+    "embed_hashed": Query(
+        embed_hashed,
+        f"""WITH digests AS (
+          SELECT doc_id, md5(token) AS d FROM (
+            SELECT doc_id, unnest(regexp_extract_all(lower(transcript), '[\\p{{L}}\\p{{N}}_]+')) AS token FROM {TRANSCRIPTS})),
+        sums AS (
+          SELECT doc_id, ('0x' || d[1:8])::BIGINT % 768 AS dim, sum(1 - 2 * (('0x' || d[9:16])::BIGINT % 2)) AS s
+          FROM digests GROUP BY 1, 2)
+        SELECT doc_id, dim, s / sqrt(sum(s * s) OVER (PARTITION BY doc_id)) AS value FROM sums QUALIFY s <> 0""",
+    ),
 }

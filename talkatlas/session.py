@@ -80,3 +80,15 @@ def cut(df: DataFrame) -> DataFrame:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder and go on from the written copy.
+
+    Unlike a checkpoint, which keeps the estimate of its plan, the size of the files is known to Spark,
+    so only a lookup that is small is broadcast.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

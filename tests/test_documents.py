@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from talkatlas.operators import chunking as K
 from talkatlas.operators import classify as C
+from talkatlas.operators import embed as E
 from talkatlas.operators import features as X
 from talkatlas.operators import summarise as Z
 from talkatlas.operators import tfidf as I
@@ -139,3 +140,16 @@ def test_features_fit_on_train_or_all(spark):
     assert train.count() == leaky.count()
     assert train.orderBy("id").first().tfidf != leaky.orderBy("id").first().tfidf
     assert X.create_tfidf(separable(spark)).columns == ["category", "summary", "tfidf"]
+
+
+def test_hashed_embeddings_keep_every_word(spark):
+    rows = [(1, "apple pear apple"), (2, "apple pear apple zyzzyva"), (3, "Apple, PEAR; apple!"), (4, ""), (5, None), (6, "... !!")]
+    docs = spark.createDataFrame(rows, "id long, s string")
+    got = {r.id: np.array(r.embedding) for r in E.embed_hashed(docs, "id", "s").collect()}
+    assert len(got) == 6 and all(len(v) == 768 for v in got.values())
+    assert np.linalg.norm(got[1]) == pytest.approx(1) and (got[1] == got[3]).all()
+    assert all(not got[i].any() for i in (4, 5, 6))
+    assert (got[2] != got[1]).any() and np.count_nonzero(got[2]) == 3
+    assert sorted(abs(got[1][got[1] != 0])) == pytest.approx([1 / 5**0.5, 2 / 5**0.5])
+    assert (np.array(E.embed_hashed(docs, "id", "s", dim=8).where("id = 1").first().embedding) != 0).sum() <= 2
+    assert E.embed_hashed(docs.limit(0), "id", "s").count() == 0
