@@ -6,8 +6,9 @@ own earlier part, once with every dictionary; the language with the smallest sum
 against the second best is the margin; a prediction with a narrow margin is marked as rejected.
 
 Learned from are rows with a text, a language and a crc32 of the id as text that leaves no 2 modulo
-``FOLDS``. A dictionary holds at most ``DICTIONARY_BYTES`` from at most about ``FIT_TEXTS`` texts of its language, chosen
-by a hash of the id (the only bound; every text is scored whole). Rows with a NULL id are held out.
+``FOLDS``; of each language about ``FIT_TEXTS`` of them, chosen by a hash of the id (the only bound). Their whole texts count:
+a dictionary is every different word of them, the most frequent last, where a reference to it is shortest. The window of the
+compressor is as wide as the dictionary. Every text is scored whole. Rows with a NULL id are held out.
 A NULL text and a text without a letter are ``und`` with score 0, and so is every text if nothing was
 learned. Ties go to the language that sorts first. Repeated rows get equal answers.
 """
@@ -15,6 +16,7 @@ learned. Ties go to the language that sorts first. Repeated rows get equal answe
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,10 +28,9 @@ from pyspark.sql import functions as F
 FOLDS = 4
 HELD_OUT = 2
 FIT_TEXTS = 1600
-SLICE_CHARS = 600
-DICTIONARY_BYTES = 500_000
 BLOCK = 2048
 LEVEL = 6
+MIN_WINDOW_LOG = 12
 NARROW = 0.01
 UNKNOWN = "und"
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
@@ -44,8 +45,19 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % FOLDS == HELD_OUT, F.lit(True))
 
 
+def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(language, word, count) of the whole texts of a batch."""
+    for batch in batches:
+        counts: Counter = Counter()
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            counts.update((lang, word) for word in letters(text).split())
+        langs, words = list(zip(*counts, strict=True)) or [(), ()]
+        columns = [pa.array(langs, pa.string()), pa.array(words, pa.binary()), pa.array(list(counts.values()), pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, ["lang", "word", "n"])
+
+
 def dictionaries(docs: DataFrame) -> dict[str, bytes]:
-    """Raw dictionary content of every language: slices of hashed texts, from a hashed place of each."""
+    """Raw dictionary content of every language: all words of hashed texts, by ascending count and word."""
     rows = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}"))
     sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes:
@@ -54,19 +66,18 @@ def dictionaries(docs: DataFrame) -> dict[str, bytes]:
     share = F.element_at(
         F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, FIT_TEXTS * 1_000_000 // n + 1)]), F.col("lang")
     )
-    span = F.greatest(F.length("text") - SLICE_CHARS, F.lit(0)) + 1
-    place = F.pmod(F.xxhash64("doc_id", F.lit("place")), span.cast("long")).cast("int") + 1
-    found = (
+    counted = (
         rows.where(F.pmod(F.xxhash64("doc_id", F.lit("fit")), million) < share)
-        .select("lang", "doc_id", F.substring("text", place, F.lit(SLICE_CHARS)).alias("part"))
-        .distinct()
-        .orderBy("lang", F.xxhash64("doc_id", F.lit("order")), "part")
-        .collect()  # about FIT_TEXTS slices of SLICE_CHARS a language
+        .select("lang", "text")
+        .mapInArrow(_word_counts, "lang string, word binary, n long")
+        .groupBy("lang", "word")
+        .agg(F.sum("n").alias("n"))
+        .collect()  # the vocabulary of about FIT_TEXTS texts a language
     )
-    parts: dict[str, list[bytes]] = {}
-    for r in found:
-        parts.setdefault(r.lang, []).append(letters(r.part))
-    return {lang: b" ".join(p)[-DICTIONARY_BYTES:] for lang, p in sorted(parts.items())}
+    words: dict[str, list[tuple[int, bytes]]] = {}
+    for r in counted:
+        words.setdefault(r.lang, []).append((r.n, bytes(r.word)))
+    return {lang: b" ".join(word for _, word in sorted(found)) for lang, found in sorted(words.items())}
 
 
 class Judge:
@@ -77,10 +88,12 @@ class Judge:
         self.compressors = []
         for body in content.values():
             held = zstandard.ZstdCompressionDict(body, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            held.precompute_compress(level=LEVEL)
-            self.compressors.append(
-                zstandard.ZstdCompressor(level=LEVEL, dict_data=held, write_content_size=False, write_checksum=False, write_dict_id=False)
+            span = (len(body) + BLOCK).bit_length()
+            wide = zstandard.ZstdCompressionParameters.from_level(
+                LEVEL, dict_size=len(body), window_log=max(MIN_WINDOW_LOG, span), write_content_size=False, write_checksum=False, write_dict_id=False
             )
+            held.precompute_compress(compression_params=wide)
+            self.compressors.append(zstandard.ZstdCompressor(dict_data=held, compression_params=wide))
 
     def sizes(self, text: bytes) -> np.ndarray:
         blocks = [text[at : at + BLOCK] for at in range(0, len(text), BLOCK)]

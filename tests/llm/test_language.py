@@ -1,8 +1,11 @@
 from __future__ import annotations
 
 import random
+import re
 import zlib
+from collections import Counter
 
+import zstandard
 from corpus import frame, odd_texts, words
 
 from talkatlas.llm import language
@@ -65,3 +68,55 @@ def test_nothing_learned_and_empty_table(spark):
     blank = docs.selectExpr("doc_id", "text", "CAST(NULL AS STRING) AS lang")
     assert {r.lang_pred for r in language.identify(blank).collect()} == {"und"}
     assert language.identify(docs.limit(0)).count() == 0
+
+
+def plain_identify(rows, learned):
+    """Every text with every dictionary, by a plain loop; ``learned`` has the text and language of the labelled rows."""
+
+    def bare(text):
+        return re.sub(r"[\W\d_]+", " ", text.lower()).encode()
+
+    compress = {}
+    for lang in sorted({lang for _, lang in learned}):
+        words = Counter(w for text, x in learned if x == lang for w in bare(text).split())
+        body = b" ".join(sorted(words, key=lambda w: (words[w], w)))
+        held = zstandard.ZstdCompressionDict(body, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        options = zstandard.ZstdCompressionParameters.from_level(
+            6, dict_size=len(body), window_log=max(12, (len(body) + 2048).bit_length()), write_content_size=False, write_dict_id=False
+        )
+        held.precompute_compress(compression_params=options)
+        compress[lang] = zstandard.ZstdCompressor(dict_data=held, compression_params=options)
+    found = {}
+    for i, text in rows:
+        sizes = []
+        for lang, c in compress.items():
+            data, total = bare(text or ""), 0
+            while data:
+                total, data = total + len(c.compress(data[:2048])), data[2048:]
+            sizes.append((total, lang))
+        sizes.sort()
+        letter = any(map(str.isalpha, text or ""))
+        found[i] = (sizes[0][1], round(1 - sizes[0][0] / sizes[1][0], 9)) if letter else ("und", 0.0)
+    return found
+
+
+def test_same_as_a_plain_loop(spark):
+    texts, langs, docs = labelled(spark)
+    learned = [
+        (t, lang) for (i, t), lang in zip(texts, langs, strict=True) if lang and i is not None and zlib.crc32(str(i).encode()) % 4 != 2
+    ]
+    rows = [r for r in language.identify(docs).collect() if r.doc_id is not None]
+    want = plain_identify([(i, t) for i, t in texts if i is not None], learned)
+    once = [i for i, n in Counter(i for i, _ in texts).items() if n == 1 and i is not None]
+    assert len(once) > 300
+    got = {r.doc_id: (r.lang_pred, round(r.margin, 9)) for r in rows}
+    assert {i: got[i] for i in once} == {i: want[i] for i in once}
+
+
+def test_every_word_of_the_longest_text_is_learned(spark):
+    first, last = ("zq" + "".join(random.Random(k).choices("abcd", k=9)) for k in (1, 2))
+    long = f"{first} " + "common words of the text " * 200_000 + last
+    docs = spark.createDataFrame([(1, long, "aa"), (3, "other words", "bb")], "doc_id long, text string, lang string")
+    assert all(zlib.crc32(str(i).encode()) % 4 != 2 for i in (1, 3))
+    body = language.dictionaries(docs)["aa"]
+    assert first.encode() in body and last.encode() in body and len(body) < 100
