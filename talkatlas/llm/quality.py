@@ -91,7 +91,7 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         for flag in (~_ENDS_PLAIN[last], _UPPER[heads] & _UPPER[second], _UPPER[heads] & _LOWER[second], length == 1, length > 15)
     ]
     feed = np.flatnonzero(data == 10)
-    start = np.sort(np.concatenate([offsets[:-1][size > 0], feed + 1]))
+    start = np.unique(np.concatenate([offsets[:-1][size > 0], feed + 1]))  # a text may end with a line feed
     start = start[start < len(data)]
     line_row = np.searchsorted(offsets, start, side="right") - 1
     end = np.minimum(np.append(start[1:], len(data)), offsets[line_row + 1])

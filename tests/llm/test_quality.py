@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -77,3 +79,85 @@ def test_statistics_see_the_whole_text():
     data = np.frombuffer(("good words here. " * 4000 + "!" * 4000).encode(), np.uint8)
     stats = quality.statistics(data, np.array([0, len(data)]))
     assert stats[0, 8] == pytest.approx(4000 / len(data))
+
+
+def slow_statistics(text: str) -> list[float]:
+    """The statistics of one text, counted one by one."""
+    data = text.encode()
+    kinds = [range(97, 123), range(65, 91), range(48, 58), b" ", b"\n", b"\t\r\x0b\x0c", b".", b",", b"!?", b"|", b"'\"-:;()", b"#$%&*+/<=>@[\\]^_`{}~", range(128, 256)]
+    shares = [sum(b in kind for b in data) for kind in kinds]
+    shares.append(len(data) - sum(shares))
+    words = re.findall(rb"[^\x20\x09-\x0D]+", data)
+    sizes = [len(w) for w in words] or [0]
+    lines = [x for x in re.findall(rb"[^\n]*\n|[^\n]+$", data)]
+    n, m = max(1, len(words)), max(1, len(lines))
+    most = lambda items: max(Counter(items).values(), default=0)
+    plain = re.compile(rb"[a-zA-Z0-9.,\x80-\xff]")
+    upper, lower = range(65, 91), range(97, 123)
+    return [x / max(1, len(data)) for x in shares] + [
+        np.log1p(len(data)), np.log1p(len(words)), np.mean(sizes), np.log1p(np.mean(sizes)), np.std(sizes), len({*words}) / n, most(words) / n,
+        len({*zip(words, words[1:], strict=False)}) / max(1, len(words) - 1), np.log1p(len(lines)), np.log1p(len(data) / m), len({*lines}) / m, most(lines) / m,
+        sum(not plain.match(w[-1:]) for w in words) / n, sum(w[0] in upper and w[min(1, len(w) - 1)] in upper for w in words) / n,
+        sum(w[0] in upper and w[min(1, len(w) - 1)] in lower for w in words) / n, sum(len(w) == 1 for w in words) / n, sum(len(w) > 15 for w in words) / n,
+    ]
+
+
+def test_statistics_match_plain_counting():
+    rng = random.Random(11)
+    some = ["", "a", "\n\n", "One line.\nOne line.\nTWO |x| 3\t!?\r\n", "é" * 30 + " ü", "A B c 1 # $ " + "w" * 20, "end\x00 \x0b x"]
+    some += ["".join(rng.choices("abC D.\n1|é#", k=rng.randint(1, 300))) for _ in range(40)]
+    data = [t.encode() for t in some]
+    offsets = np.cumsum([0, *map(len, data)])
+    got = quality.statistics(np.frombuffer(b"".join(data), np.uint8), offsets)
+    assert np.allclose(got, [slow_statistics(t) for t in some])
+
+
+def test_features_approximate_the_gaussian_kernel():
+    rng = np.random.default_rng(0)
+    d, n = 12, 4000
+    fourier = quality.Fourier(np.zeros(d), np.ones(d), rng.normal(size=(d, n)) / np.sqrt(d), rng.uniform(0, 2 * np.pi, n))
+    x = rng.normal(size=(30, d))
+    z = fourier(x)[:, :-1]
+    kernel = np.exp(-((x[:, None] - x[None]) ** 2).sum(axis=2) / (2 * d))
+    assert np.abs(z @ z.T - kernel).max() < 0.08
+
+
+def test_scores_match_a_dense_fit(spark):
+    """All rows in one matrix, least squares over stacked penalty rows, and the min-max formula of the isotonic fit."""
+    _, docs, labels = labelled(spark)
+    stats = quality.document_statistics(docs).distinct()
+    fold = "CAST(pmod(xxhash64(doc_id, 'fold'), 5) AS INT) AS fold"
+    rows = stats.where("doc_id >= 100").selectExpr("doc_id", "stats", fold).orderBy("doc_id").collect()
+    label = {r.doc_id: r.quality for r in labels.where("quality IN (0, 1)").collect()}
+    train = [r for r in rows if zlib.crc32(str(r.doc_id).encode()) % 5]
+    x, y = np.array([r.stats for r in train], float), np.array([label[r.doc_id] for r in train], float)
+    folds = np.array([r.fold for r in train])
+    scale = x.std(axis=0)
+    rng = np.random.default_rng(quality.SEED)
+    waves = rng.normal(size=(x.shape[1], 300)) / np.sqrt(x.shape[1])
+    fourier = quality.Fourier(x.mean(axis=0), np.where(scale < 1e-6, 1, scale), waves, rng.uniform(0, 2 * np.pi, 300))
+    z = fourier(x)
+
+    def ridge(own, penalty):
+        root = np.sqrt(np.append(np.full(300, penalty * own.sum()), 1e-9))
+        return np.linalg.lstsq(np.concatenate([z[own], np.diag(root)]), np.concatenate([y[own], np.zeros(301)]), rcond=None)[0]
+
+    tried = []
+    for penalty in quality.RIDGES:
+        unseen = np.zeros(len(y))
+        for k in range(5):
+            unseen[folds == k] = z[folds == k] @ ridge(folds != k, penalty)
+        tried.append((((unseen - y) ** 2).sum(), penalty, unseen))
+    _, penalty, unseen = min(tried, key=lambda t: t[0])
+    bins = np.floor(np.clip(unseen, -1, 2) * quality.BINS)
+    groups = [bins == b for b in np.unique(bins)]
+    at, mean, n = (np.array(c) for c in zip(*[(unseen[g].mean(), y[g].mean(), g.sum()) for g in groups], strict=True))
+    level = [max(min(np.average(mean[i : j + 1], weights=n[i : j + 1]) for j in range(k, len(n))) for i in range(k + 1)) for k in range(len(n))]
+    pools = [np.isclose(level, v) for v in sorted({round(v, 9) for v in level})]
+    knots = [np.average(at[p], weights=n[p]) for p in pools]
+    values = [np.average(mean[p], weights=n[p]) for p in pools]
+    everything = fourier(np.array([r.stats for r in rows], float)) @ ridge(np.ones(len(y), bool), penalty)
+    want = dict(zip([r.doc_id for r in rows], np.clip(np.interp(everything, knots, values), 0, 1), strict=True))
+    # the odd texts have no usable label, so the fit is that of the rows above
+    got = {r.doc_id: r.score for r in quality.quality_scores(docs, labels).collect() if r.doc_id in want}
+    assert max(abs(got[i] - want[i]) for i in want) < 1e-4 and len(want) == 400
