@@ -18,8 +18,10 @@ def measured_bytes(lookup: DataFrame) -> int:
     return lookup.agg(F.coalesce(F.sum(row), F.lit(0))).first()[0]
 
 
-def skew_join(df: DataFrame, lookup: DataFrame, key: str, how: str = "inner", lookup_bytes: int = LOOKUP_BYTES) -> DataFrame:
-    """Join ``df`` to ``lookup``, which has one row per key.
+def skew_join(
+    df: DataFrame, lookup: DataFrame, key: str | list[str], how: str = "inner", lookup_bytes: int = LOOKUP_BYTES
+) -> DataFrame:
+    """Join ``df`` to ``lookup``, the smaller side, mostly with one row per key.
 
     The lookup is written once and measured. Up to ``lookup_bytes`` it is broadcast and ``df`` is not shuffled. A larger one is
     never broadcast: it meets ``df`` in a sort-merge join whose two sides both come from an exchange of their own, the form in

@@ -12,10 +12,13 @@ from talkatlas.operators import chunking as K
 from talkatlas.operators import embed as E
 from talkatlas.operators import features as X
 from talkatlas.operators import summarise as Z
+from talkatlas.operators import term_index as TI
 from talkatlas.operators import tfidf as I
 from talkatlas.operators.recommend import recommend_by_terms
-from talkatlas.plans.common import TRANSCRIPTS, Query, spread_transcripts
+from talkatlas.operators.split import random_row_per_group
+from talkatlas.plans.common import TRANSCRIPTS, Query, spread_transcripts, transcripts
 from talkatlas.plans.tables import TOKENS_SQL, _token_counts
+from talkatlas.session import scratch_path
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
@@ -37,6 +40,20 @@ def recommend_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recommend_by_terms(spread_transcripts(spark, sf_dir), "doc_id", "transcript", "category")
 
 
+def _term_search(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The queries of ``recommend_tfidf``, and what a stored term index finds for them at which effort."""
+    path = scratch_path(spark, "term-index")
+    TI.build_term_index(spread_transcripts(spark, sf_dir), path, "doc_id", "transcript")
+    picked = random_row_per_group(transcripts(spark, sf_dir), "doc_id", "category")
+    queries = picked.select(F.col("category").alias("query_category"), F.col("doc_id").alias("query_id"))
+    return queries, *TI.search(TI.open_term_index(spark, path, "doc_id"), queries, 9)
+
+
+def recommend_tfidf_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    queries, found, _ = _term_search(spark, sf_dir)
+    return found.join(queries, "query_id")
+
+
 def _bucket_totals(spark: SparkSession, sf_dir: str, vector: str) -> DataFrame:
     """Sum of a hashed vector per category, in long form."""
     docs = spread_transcripts(spark, sf_dir).dropna(subset=["transcript"])
@@ -215,6 +232,21 @@ hashed AS (SELECT doc_id, category, bucket, sum(tf) AS tf FROM tokens JOIN place
 _SAMPLE = f"(SELECT * FROM {TRANSCRIPTS} ORDER BY md5('42:' || doc_id), doc_id LIMIT 10)"
 _LETTER_COUNTS = ", ".join(f"length(transcript) - length(replace(transcript, '{c}', ''))" for c in LETTERS)
 
+_RECOMMEND_TFIDF = f"""WITH {_postings(TRANSCRIPTS)}, picked AS (
+  SELECT category AS query_category, doc_id AS query_id,
+    row_number() OVER (PARTITION BY category ORDER BY md5('42:' || doc_id), doc_id) AS pick
+  FROM {TRANSCRIPTS} WHERE category IS NOT NULL),
+q AS (SELECT query_category, query_id, term, weight AS qw FROM picked
+  JOIN weights ON doc_id = query_id WHERE pick = 1),
+shared AS (SELECT query_id, doc_id, sum(weight * qw) AS sim FROM q JOIN weights w ON q.term = w.term GROUP BY 1, 2),
+scored AS (
+  SELECT query_category, p.query_id, d.doc_id, round(coalesce(sim, 0), 6) AS sim
+  FROM picked p JOIN documents d ON p.pick = 1 AND d.doc_id <> p.query_id
+  LEFT JOIN shared s ON s.query_id = p.query_id AND s.doc_id = d.doc_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_category ORDER BY sim DESC, doc_id) AS rank FROM scored)
+SELECT * FROM ranked WHERE rank <= 9"""
+
 QUERIES: dict[str, Query] = {
     "tfidf_l2": Query(
         tfidf_l2, f"WITH {_postings(TRANSCRIPTS)} SELECT doc_id, term, round(weight, 6) AS weight FROM weights"
@@ -225,23 +257,8 @@ QUERIES: dict[str, Query] = {
         SELECT doc_id, counts.term, tf, df, round(tf * ln((n + 1.0::DOUBLE) / (df + 1.0::DOUBLE)), 6) AS weight
         FROM counts JOIN freq ON counts.term = freq.term, (SELECT count(*) AS n FROM documents)""",
     ),
-    "recommend_tfidf": Query(
-        recommend_tfidf,
-        f"""WITH {_postings(TRANSCRIPTS)}, picked AS (
-          SELECT category AS query_category, doc_id AS query_id,
-            row_number() OVER (PARTITION BY category ORDER BY md5('42:' || doc_id), doc_id) AS pick
-          FROM {TRANSCRIPTS} WHERE category IS NOT NULL),
-        q AS (SELECT query_category, query_id, term, weight AS qw FROM picked
-          JOIN weights ON doc_id = query_id WHERE pick = 1),
-        shared AS (SELECT query_id, doc_id, sum(weight * qw) AS sim FROM q JOIN weights w ON q.term = w.term GROUP BY 1, 2),
-        scored AS (
-          SELECT query_category, p.query_id, d.doc_id, round(coalesce(sim, 0), 6) AS sim
-          FROM picked p JOIN documents d ON p.pick = 1 AND d.doc_id <> p.query_id
-          LEFT JOIN shared s ON s.query_id = p.query_id AND s.doc_id = d.doc_id),
-        ranked AS (
-          SELECT *, row_number() OVER (PARTITION BY query_category ORDER BY sim DESC, doc_id) AS rank FROM scored)
-        SELECT * FROM ranked WHERE rank <= 9""",
-    ),
+    "recommend_tfidf": Query(recommend_tfidf, _RECOMMEND_TFIDF),
+    "recommend_tfidf_index": Query(recommend_tfidf_index, _RECOMMEND_TFIDF),
     "hashing_tf": Query(
         hashing_tf, f"WITH {_BUCKETS} SELECT category, bucket, sum(tf)::DOUBLE AS total FROM hashed GROUP BY ALL"
     ),
