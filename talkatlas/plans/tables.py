@@ -9,6 +9,7 @@ from talkatlas.functions import text as TX
 from talkatlas.functions.sampling import fold, is_train
 from talkatlas.operators import labels as L
 from talkatlas.operators import profile as P
+from talkatlas.operators import sketches as K
 from talkatlas.operators import split as S
 from talkatlas.plans.common import PARTLY_MISSING, TRANSCRIPTS, Query, partly_missing, spread_transcripts, table, transcripts
 from talkatlas.session import scratch_path
@@ -127,6 +128,15 @@ _COLUMN_PROFILE = " UNION ALL ".join(
 )
 
 
+def column_profile_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile merged from sketches of four parts, each stored by itself; counts up to 65,536 are exact."""
+    path, bits = scratch_path(spark, "sketches"), 16
+    parts = partly_missing(spark, sf_dir).withColumn("part", fold(F.col("doc_id"), 4))
+    K.store_sketches(K.distinct_sketches(parts, _PROFILED, ("part",), bits), path, "part")
+    merged = K.counted(K.merge(K.stored_sketches(spark, path), bits=bits))
+    return merged.withColumn("data_type", F.lit("string"))
+
+
 def row_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = partly_missing(spark, sf_dir)
     return P.row_loss(docs, docs.dropna(subset=["transcript"]))
@@ -140,6 +150,15 @@ def playlist_title_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 _TITLE_COUNT = f"""SELECT playlist_name, count(DISTINCT title) AS title_count FROM {TRANSCRIPTS} GROUP BY 1"""
 
 
+def playlist_title_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct titles per playlist, merged from stored sketches of its categories; beyond 4,096 titles an estimate."""
+    path = scratch_path(spark, "sketches")
+    sketches = K.distinct_sketches(transcripts(spark, sf_dir), ["title"], ("category", "playlist_name"))
+    K.store_sketches(sketches, path, "category")
+    merged = K.counted(K.merge(K.stored_sketches(spark, path), ("playlist_name",)))
+    return merged.select("playlist_name", F.col("n_distinct").alias("title_count"))
+
+
 def playlist_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return playlist_title_count(spark, sf_dir).limit(5)
 
@@ -303,12 +322,14 @@ QUERIES: dict[str, Query] = {
     ),
     "fold_assign": Query(fold_assign, f"SELECT doc_id, {bucket_sql('doc_id', 5, 7)} AS fold FROM documents"),
     "column_profile": Query(column_profile, _COLUMN_PROFILE),
+    "column_profile_sketched": Query(column_profile_sketched, _COLUMN_PROFILE),
     "row_loss": Query(
         row_loss,
         f"""SELECT count(*) AS rows_before, count(transcript) AS rows_after, count(*) - count(transcript) AS rows_lost
         FROM {PARTLY_MISSING}""",
     ),
     "playlist_title_count": Query(playlist_title_count, _TITLE_COUNT),
+    "playlist_title_sketch": Query(playlist_title_sketch, _TITLE_COUNT),
     "playlist_top5": Query(playlist_top5, f"{_TITLE_COUNT} ORDER BY title_count DESC, playlist_name LIMIT 5"),
     "playlist_top5_share": Query(
         playlist_top5_share,
