@@ -14,6 +14,7 @@ from talkatlas.operators import split as S
 from talkatlas.plans.common import PARTLY_MISSING, TRANSCRIPTS, Query, partly_missing, spread_transcripts, table, transcripts
 from talkatlas.session import scratch_path
 from talkatlas.sources import files
+from talkatlas.sources.split_csv import read_csv_split
 
 # --- files -----------------------------------------------------------------
 
@@ -25,6 +26,14 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_csv(spark, path, files.with_index(files.TRANSCRIPT_SCHEMA))
 
 
+def csv_split_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The files of ``csv_roundtrip``, each read by as many tasks as it has splits."""
+    path = scratch_path(spark, "transcripts-csv")
+    indexed = transcripts(spark, sf_dir).withColumnRenamed("doc_id", files.INDEX_COLUMN).drop("category")
+    files.write_csv(indexed, path)
+    return read_csv_split(spark, path, files.with_index(files.TRANSCRIPT_SCHEMA))
+
+
 def _label_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One label line per document: English lines lack the separator, German ones have two."""
     key = F.concat_ws("/", "playlist_name", "category")
@@ -294,10 +303,11 @@ def concat_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.unionByName(items)
 
 
+_INDEXED = f"SELECT doc_id AS row_ix, title, transcript, playlist_name FROM {TRANSCRIPTS}"
+
 QUERIES: dict[str, Query] = {
-    "csv_roundtrip": Query(
-        csv_roundtrip, f"SELECT doc_id AS row_ix, title, transcript, playlist_name FROM {TRANSCRIPTS}"
-    ),
+    "csv_roundtrip": Query(csv_roundtrip, _INDEXED),
+    "csv_split_roundtrip": Query(csv_split_roundtrip, _INDEXED),
     "label_map_parse": Query(label_map_parse, f"WITH {_LABEL_MAP} SELECT * FROM label_map"),
     "label_map_rejects": Query(
         label_map_rejects, f"WITH {_LINES} SELECT line_ix, value FROM lines WHERE len(parts) <> 2"
