@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from talkatlas.functions import vector as V
 from talkatlas.operators.knn import DIGITS, nearest
 from talkatlas.operators.ranking import top_per_group
+from talkatlas.operators.skew import skew_join
 from talkatlas.operators.split import random_row_per_group
-from talkatlas.operators.tfidf import doc_count, idf_smooth, l2_normalise, term_counts, with_document_frequency
+from talkatlas.operators.tfidf import tfidf_l2
 from talkatlas.session import cut
 
 
@@ -73,13 +74,11 @@ def recommend_by_terms(
     queries = cut(random_row_per_group(docs, row_id, category, seed)).select(
         F.col(category).alias("query_category"), F.col(row_id).alias("query_id")
     )
-    counts = cut(term_counts(docs, row_id, text))
-    weight = F.col("tf") * idf_smooth(doc_count(docs))
-    weights = cut(l2_normalise(with_document_frequency(counts).select(row_id, "term", weight.alias("weight")), row_id))
+    weights = cut(tfidf_l2(docs, row_id, text))
     asked = weights.withColumnsRenamed({row_id: "query_id", "weight": "query_weight"})
-    terms = cut(asked.join(queries, "query_id").select("query_category", "query_id", "term", "query_weight"))
+    terms = cut(skew_join(asked, queries, "query_id").select("query_category", "query_id", "term", "query_weight"))
     sums = (
-        weights.join(terms, "term")
+        skew_join(weights, terms, "term")
         .groupBy(row_id, "query_category", "query_id")
         .agg(F.sum(F.col("weight") * F.col("query_weight")).alias("sim"))
     )

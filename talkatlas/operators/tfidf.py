@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from talkatlas.functions import text as T
-from talkatlas.operators.skew import skew_join
-from talkatlas.session import cut
+from talkatlas.operators.skew import frequent_join
+from talkatlas.session import cut, dealt
 
 TERM = rf"{T.WORD}{{2,}}"
 
@@ -15,12 +15,12 @@ TERM = rf"{T.WORD}{{2,}}"
 def term_counts(docs: DataFrame, row_id: str, text: str) -> DataFrame:
     """``(row_id, term, tf)``.
 
-    Texts are spread by id first, so the count per document and term needs no
+    Texts are dealt by id to tasks of bounded bytes first, so the count per document and term needs no
     further shuffle. The outer explode avoids the not-empty filter that would
     tokenise every text twice.
     """
     found = F.regexp_extract_all(F.lower(F.col(text)), F.lit(TERM), F.lit(0))
-    terms = docs.select(row_id, text).repartition(row_id).select(row_id, F.explode_outer(found).alias("term"))
+    terms = dealt(docs.select(row_id, text), row_id, text).select(row_id, F.explode_outer(found).alias("term"))
     return terms.where(F.col("term").isNotNull()).groupBy(row_id, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -30,8 +30,8 @@ def document_frequency(counts: DataFrame) -> DataFrame:
 
 
 def with_document_frequency(counts: DataFrame, freq: DataFrame | None = None) -> DataFrame:
-    """Attach ``df`` to every row (default: that of ``counts``); terms without one are left out."""
-    return skew_join(counts, document_frequency(counts) if freq is None else freq, "term")
+    """Attach ``df`` to every row of a written table (default: that of ``counts``); terms without one are left out."""
+    return frequent_join(counts, document_frequency(counts) if freq is None else freq, "term", "df")
 
 
 def idf_smooth(n_docs: Column) -> Column:
@@ -52,11 +52,14 @@ def l2_normalise(weights: DataFrame, row_id: str, weight: str = "weight") -> Dat
 
 
 def tfidf_l2(docs: DataFrame, row_id: str, text: str) -> DataFrame:
-    """``(row_id, term, weight)``: smoothed idf, unit length per document."""
+    """``(row_id, term, weight)``: smoothed idf, unit length per document.
+
+    Documents meet their terms again in as many tasks as they were dealt to, and are weighed there.
+    """
     counts = cut(term_counts(docs, row_id, text))
     idf = idf_smooth(doc_count(docs))
-    weights = with_document_frequency(counts).select(row_id, "term", (F.col("tf") * idf).alias("weight"))
-    return l2_normalise(weights, row_id)
+    found = with_document_frequency(counts).repartition(max(1, counts.rdd.getNumPartitions()), row_id)
+    return l2_normalise(found.select(row_id, "term", (F.col("tf") * idf).alias("weight")), row_id)
 
 
 def tfidf_unsmoothed(docs: DataFrame, row_id: str, text: str) -> DataFrame:

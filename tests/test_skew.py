@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from talkatlas.operators import skew
+from talkatlas import session
+from talkatlas.operators import chunking, lemma, skew, summarise, term_index, tfidf
 
 
 def plan(df):
@@ -35,3 +36,32 @@ def test_both_joins_give_the_same_rows(spark):
         a, b = (skew.skew_join(rows, lookup, "key", how, limit) for limit in (skew.LOOKUP_BYTES, 0))
         assert "SortMergeJoin" in plan(b)
         assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty() and a.count() == b.count()
+
+
+def test_frequent_keys_stay_and_only_the_others_are_moved(spark):
+    rows = spark.range(5000).select("id", F.floor(F.sqrt("id") * 10).cast("string").alias("key"))
+    rows = rows.unionByName(spark.range(3000).select("id", F.lit("hot").alias("key"))).unionByName(spark.range(9).select("id", F.lit(None).cast("string").alias("key")))
+    lookup = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    want = rows.join(lookup, "key")
+    for limit in (0, 2000, 20_000, skew.LOOKUP_BYTES):
+        got = skew.frequent_join(rows, lookup, "key", "n", limit)
+        assert ("SortMergeJoin" in plan(got)) == (limit < skew.LOOKUP_BYTES)
+        assert ("BroadcastHashJoin" in plan(got)) and got.columns == want.columns
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def texts(spark, n=400):
+    words = F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(60)), lambda i: F.concat(F.lit("w"), (i * F.col("id")) % 97, F.lit("s"))))
+    return spark.range(n).select("id", words.alias("text"))
+
+
+def test_tasks_follow_the_bytes_of_the_texts(spark, monkeypatch):
+    docs = texts(spark)
+    few = tfidf.term_counts(docs, "id", "text")
+    monkeypatch.setattr(session, "PART_BYTES", 2000)
+    held = docs.agg(F.sum(F.octet_length("text"))).first()[0]
+    many = tfidf.term_counts(docs, "id", "text")
+    assert few.rdd.getNumPartitions() <= 8 and many.rdd.getNumPartitions() == -(-held // 2000) > 30
+    assert many.exceptAll(few).isEmpty() and few.exceptAll(many).isEmpty()
+    weights = tfidf.tfidf_l2(docs, "id", "text")
+    assert weights.rdd.getNumPartitions() == -(-held // 2000)
