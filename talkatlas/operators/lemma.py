@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from talkatlas.functions import text as T
 from talkatlas.operators.skew import skew_join
-from talkatlas.session import cut
+from talkatlas.session import dealt, stored
 
 
 def lemmatise(
@@ -17,12 +17,12 @@ def lemmatise(
 
     ``lemmas`` has one ``(token, lemma)`` row per token. Each distinct word of a
     row is looked up once, with all its positions; common words do not pile up, see
-    :func:`skew_join`. A text without words
-    stays as one row without a token.
+    :func:`skew_join`. Texts are written once and dealt to tasks of bounded bytes; with a broadcast lookup, the words
+    never leave these tasks. A text without words stays as one row without a token.
     """
-    words = docs.where(F.col(text).isNotNull()).select(row_id, text).repartition(row_id)
-    listed = words.select(row_id, F.posexplode_outer(T.words(F.col(text))).alias("position", "token"))
-    places = cut(listed.groupBy(row_id, "token").agg(F.collect_list("position").alias("positions")))
+    texts = stored(docs.where(F.col(text).isNotNull()).select(row_id, text), "texts")
+    listed = dealt(texts, row_id, text).select(row_id, F.posexplode_outer(T.words(F.col(text))).alias("position", "token"))
+    places = listed.groupBy(row_id, "token").agg(F.collect_list("position").alias("positions"))
     looked_up = skew_join(places, lemmas, "token", "left")
     word = F.when(~F.col("token").isin(stop_words), F.coalesce("lemma", "token"))
     placed = F.transform("positions", lambda p: F.struct(p.alias("position"), F.col("word")))

@@ -65,3 +65,13 @@ def test_tasks_follow_the_bytes_of_the_texts(spark, monkeypatch):
     assert many.exceptAll(few).isEmpty() and few.exceptAll(many).isEmpty()
     weights = tfidf.tfidf_l2(docs, "id", "text")
     assert weights.rdd.getNumPartitions() == -(-held // 2000)
+
+
+def test_words_do_not_leave_their_texts_for_a_small_lookup(spark):
+    docs = texts(spark).withColumn("text", F.when(F.col("id") % 7 > 0, F.col("text")).otherwise(""))
+    lemmas = spark.createDataFrame([("w1s", "w1"), ("w2s", "w2")], "token string, lemma string")
+    done = lemma.lemmatise(docs, "id", "text", lemmas, ["w3s"])
+    assert plan(done).count("Exchange hashpartitioning") == 1
+    rows = {r.id: r.text.split() for r in docs.collect()}
+    change = {"w1s": "w1", "w2s": "w2"}
+    assert {r.id: r.lemmas for r in done.collect()} == {i: " ".join(change.get(w, w) for w in ws if w != "w3s") for i, ws in rows.items()}
