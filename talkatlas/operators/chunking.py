@@ -49,11 +49,11 @@ def chunk_of(n: Column, chunks: Column, position: Column) -> Column:
     )
 
 
-def tokenised(docs: DataFrame, row_id: str, text: str, max_length: int = MAX_LENGTH) -> DataFrame:
-    """``(row_id, tokens, n_tokens, n_chunks, budget)``; a missing text has no tokens."""
+def tokenised(docs: DataFrame, row_id: str, text: str, max_length: int = MAX_LENGTH, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``(row_id, carry..., tokens, n_tokens, n_chunks, budget)``; a missing text has no tokens."""
     tokens = F.coalesce(T.tokens(F.col(text)), F.array().cast("array<string>"))
     return (
-        docs.select(row_id, tokens.alias("tokens"))
+        docs.select(row_id, *carry, tokens.alias("tokens"))
         .withColumn("n_tokens", F.size("tokens").cast("bigint"))
         .withColumn("n_chunks", chunk_count(F.col("n_tokens"), max_length))
         .withColumn("budget", chunk_budget(F.col("n_chunks"), max_length))

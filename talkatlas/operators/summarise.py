@@ -23,7 +23,7 @@ from talkatlas.operators.chunking import (
 )
 from talkatlas.operators.split import sample_rows
 from talkatlas.operators.tfidf import doc_count, document_frequency, idf_smooth, term_counts, with_document_frequency
-from talkatlas.session import cut
+from talkatlas.session import cut, dealt
 
 SPAN = 20
 
@@ -48,7 +48,7 @@ def span_scores(
         F.col("position") - chunk_start(n, chunks, F.col("chunk_ix")), F.lit(span)
     )
     counts = cut(
-        tokenised(docs.select(row_id, text).repartition(row_id), row_id, text, max_length)
+        tokenised(dealt(docs.select(row_id, text), row_id, text), row_id, text, max_length)
         .select(row_id, "n_tokens", "n_chunks", F.posexplode_outer("tokens").alias("position", "term"))
         .where(F.col("term").isNotNull())
         .withColumn("chunk_ix", chunk)
@@ -108,9 +108,10 @@ def summarise(
         return F.slice("tokens", (start + 1).cast("int"), length.cast("int"))
 
     spans = F.flatten(F.transform("places", piece))
+    # Texts and not their tokens meet the places, which are fewer bytes to move.
+    placed = docs.select(row_id, text).join(chosen, row_id, "left")
     return (
-        tokenised(docs, row_id, text, max_length)
-        .join(chosen, row_id, "left")
+        tokenised(placed, row_id, text, max_length, ("places",))
         .select(row_id, F.coalesce(F.array_join(spans, " "), F.lit("")).alias("summary"))
     )
 

@@ -75,3 +75,12 @@ def test_words_do_not_leave_their_texts_for_a_small_lookup(spark):
     rows = {r.id: r.text.split() for r in docs.collect()}
     change = {"w1s": "w1", "w2s": "w2"}
     assert {r.id: r.lemmas for r in done.collect()} == {i: " ".join(change.get(w, w) for w in ws if w != "w3s") for i, ws in rows.items()}
+
+
+def test_places_meet_texts_and_not_tokens(spark):
+    docs = texts(spark, 30)
+    joined = plan(summarise.summarise(docs, "id", "text"))
+    text_side = joined[: joined.rindex("SortMergeJoin")] if "SortMergeJoin" in joined else joined[: joined.rindex("BroadcastHashJoin")]
+    assert "regexp_extract_all" in text_side
+    tokens = chunking.tokenised(docs, "id", "text", carry=("text",))
+    assert tokens.columns == ["id", "text", "tokens", "n_tokens", "n_chunks", "budget"]
