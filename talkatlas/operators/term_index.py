@@ -24,8 +24,8 @@ FIRST_MASS = 0.3  # share of a query's squared length whose postings give the fi
 
 @dataclass(frozen=True)
 class TermIndex:
-    """``rows``: one per document, its terms and weights; ``postings``: one per document and term, in the order of
-    terms; ``terms``: how many documents hold a term; ``ids``: all documents, those without a term as well."""
+    """``rows``: one per document, its terms and weights; ``postings``: one per document and term, in segments in the order
+    of terms; ``terms``: how many documents hold a term; ``ids``: all documents, those without a term as well."""
 
     rows: DataFrame
     postings: DataFrame
@@ -37,8 +37,8 @@ class TermIndex:
 def build_term_index(docs: DataFrame, path: str, row_id: str, text: str) -> None:
     """Write the index of ``docs`` below ``path``.
 
-    Rows with a NULL id take no part; texts of one id count as one document. Postings are cut by range of
-    ``(term, row_id)``, so a term that most documents hold is spread over many files.
+    Rows with a NULL id take no part; texts of one id count as one document. Postings are written in segments, one per file
+    of rows and in the order of ``(term, row_id)``, so they are not shuffled and a term that most documents hold is spread over many files.
     """
     spark = docs.sparkSession
     known = docs.where(F.col(row_id).isNotNull())
@@ -46,7 +46,7 @@ def build_term_index(docs: DataFrame, path: str, row_id: str, text: str) -> None
     entry = F.struct("term", "weight")
     tfidf_l2(known, row_id, text).groupBy(row_id).agg(F.collect_list(entry).alias("entries")).write.parquet(f"{path}/rows")
     postings = spark.read.parquet(f"{path}/rows").select(row_id, F.inline("entries"))
-    postings.repartitionByRange("term", row_id).sortWithinPartitions("term", row_id).write.parquet(f"{path}/postings")
+    postings.sortWithinPartitions("term", row_id).write.parquet(f"{path}/postings")
     document_frequency(spark.read.parquet(f"{path}/postings")).write.parquet(f"{path}/terms")
 
 

@@ -84,3 +84,21 @@ def test_places_meet_texts_and_not_tokens(spark):
     assert "regexp_extract_all" in text_side
     tokens = chunking.tokenised(docs, "id", "text", carry=("text",))
     assert tokens.columns == ["id", "text", "tokens", "n_tokens", "n_chunks", "budget"]
+
+
+def test_postings_are_segments_in_the_order_of_terms(spark, tmp_path):
+    docs = texts(spark, 50)
+    term_index.build_term_index(docs, str(tmp_path / "index"), "id", "text")
+    postings = spark.read.parquet(str(tmp_path / "index" / "postings")).select("id", "term", "weight", F.col("_metadata.file_name").alias("f"))
+    whole = tfidf.tfidf_l2(docs, "id", "text")
+    left, right = (x.select("id", "term", F.round("weight", 9)) for x in (postings, whole))
+    assert left.exceptAll(right).isEmpty() and right.exceptAll(left).isEmpty()
+    files = {}
+    for r in postings.collect():
+        files.setdefault(r.f, []).append((r.term, r.id))
+    assert len(files) > 1 and all(rows == sorted(rows) for rows in files.values())
+    by_id = {}
+    for f, rows in files.items():
+        for _, i in rows:
+            by_id.setdefault(i, set()).add(f)
+    assert all(len(fs) == 1 for fs in by_id.values())  # a document's postings are not dealt out by term
