@@ -9,6 +9,10 @@ a wanted recall takes, by exact comparison of a hashed set of queries. ``exact``
 still hold a better row: by the triangle inequality no row of a cell is nearer to the query than the query's angle
 to the centroid, less the widest (or the narrowest, less it) angle in the cell. Its rows are those of ``knn.nearest``.
 
+A visit sends the query to every cell it asks for. Queries that ask for more than ``SCAN_SHARE`` of the lists or rows would be
+sent to almost every cell, so they meet all rows block by block instead, in tiles whose number does not follow the number of
+cells; what they may not visit is left out inside the tile, so the rows are the same.
+
 Zero vectors have a list of their own and similarity 0 with everything. Rows with a NULL id or without ``dim`` finite values
 take no part, neither in the index nor as queries.
 """
@@ -18,6 +22,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +34,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from talkatlas.functions.vector import is_vector
-from talkatlas.operators.knn import ROUNDING, _local_best, _matrix, _unit_rows, nearest
+from talkatlas.operators.knn import ROUNDING, _block_rows, _blocks, _local_best, _matrix, _tiled, _unit_rows, nearest
 from talkatlas.operators.ranking import top_per_group
 from talkatlas.operators.skew import skew_join
 from talkatlas.session import stored
@@ -46,6 +51,7 @@ ZERO = -1
 AUDIT = 200
 RECALL = 0.95
 STRIP = 512
+SCAN_SHARE = 0.25
 
 
 @dataclass(frozen=True)
@@ -184,9 +190,10 @@ def _first_cells(cells: Cells, probes: int):
 
 
 def _open_cells(cells: Cells):
-    """Cells that were not visited and whose rows may reach the similarity ``kth``."""
+    """Cells that were not visited and whose rows may reach the similarity ``kth``; nothing if they hold too large a share of all rows."""
+    few = SCAN_SHARE * cells.size.sum()
 
-    def work(batch: pa.RecordBatch) -> list[np.ndarray]:
+    def work(batch: pa.RecordBatch) -> list[np.ndarray | None]:
         unit = _unit(batch.column("_vector"), cells.dim)
         zero = ~unit.any(axis=1)
         cos = np.concatenate([unit @ cells.centres.T, np.zeros((len(unit), 1))], axis=1)  # the last is that of ZERO
@@ -196,7 +203,8 @@ def _open_cells(cells: Cells):
         kth = batch.column("kth").to_numpy(zero_copy_only=False).astype(float)
         reach = ~(bound < kth[:, None] - 2 * ROUNDING)  # kth is not a number where fewer than k rows are known
         visited = batch.column("cells")
-        return [cells.cell[row & ~np.isin(cells.cell, seen.values.to_numpy())] for row, seen in zip(reach, visited, strict=True)]
+        more = [row & ~np.isin(cells.cell, seen.values.to_numpy()) for row, seen in zip(reach, visited, strict=True)]
+        return [cells.cell[row] if cells.size[row].sum() <= few else None for row in more]
 
     return work
 
@@ -206,6 +214,40 @@ def _asked(queries: DataFrame, index: Index, vector: str, query_columns: tuple[s
     return queries.where(_valid(index.row_id, vector, index.cells.dim)).select(F.col(index.row_id).alias("_id"), F.col(vector).alias("_vector"), *named)
 
 
+def _outside(cells: Cells, probes: int):
+    """Pairs of a query and a row that is in none of the query's ``probes`` nearest lists."""
+
+    def closed(part: pa.Table, rows: pa.Table) -> np.ndarray:
+        unit = _unit_rows(_matrix(part["_vector"], cells.dim))
+        order = np.argsort(-(unit @ cells.centres.T), axis=1, kind="stable")[:, :probes]
+        shut = np.ones((len(unit), cells.lists + 1), bool)  # the last is that of ZERO
+        np.put_along_axis(shut, order, False, axis=1)
+        return shut[:, rows["list"].to_numpy()]
+
+    return closed
+
+
+def _scan(asked: DataFrame, index: Index, k: int, query_columns: tuple[str, ...], closed=None) -> DataFrame:
+    """Best ``k`` rows of every query and block of rows, but for the pairs that ``closed`` marks. No cell is asked for by name."""
+    carried = [f"_q_{c}" for c in query_columns], [f"_c_{c}" for c in index.columns]
+    dim, n, held = index.cells.dim, asked.count(), int(index.cells.size.sum())
+    per_block = _block_rows(dim, max(n, held), asked.sparkSession.sparkContext.defaultParallelism)
+    schema = _scored_schema(asked, index, carried)
+    rows = index.rows.select("_id", "_vector", *carried[1], "list")
+    return _tiled(
+        asked.select("_id", "_vector", *carried[0]), rows, _blocks(n, per_block), _blocks(held, per_block), k, dim, "cosine", None,
+        carried, schema, to_arrow_schema(schema), closed,
+    )
+
+
+def _scored_schema(asked: DataFrame, index: Index, carried: tuple[list[str], list[str]]) -> T.StructType:
+    out = [T.StructField("_id", asked.schema["_id"].dataType)]
+    out += [T.StructField(c, asked.schema[c].dataType) for c in carried[0]]
+    out += [T.StructField("_other", index.rows.schema["_id"].dataType)]
+    out += [T.StructField(c, index.rows.schema[c].dataType) for c in carried[1]]
+    return T.StructType([*out, T.StructField("score", T.DoubleType())])
+
+
 def _visit(planned: DataFrame, index: Index, k: int, query_columns: tuple[str, ...]) -> DataFrame:
     """Best ``k`` rows of every query and cell; ``planned`` has the queries with their ``cells``.
 
@@ -219,11 +261,7 @@ def _visit(planned: DataFrame, index: Index, k: int, query_columns: tuple[str, .
     left = asked.join(load, "cell").withColumn("part", part).drop("parts")
     copies = load.select(F.col("cell").alias("cell"), F.sequence(F.lit(0), F.col("parts") - 1).alias("copies"))
     right = index.rows.drop("list", "angle").join(copies, "cell").withColumn("part", F.explode("copies")).drop("copies")
-    out = [T.StructField("_id", planned.schema["_id"].dataType)]
-    out += [T.StructField(c, planned.schema[c].dataType) for c in carried[0]]
-    out += [T.StructField("_other", index.rows.schema["_id"].dataType)]
-    out += [T.StructField(c, index.rows.schema[c].dataType) for c in carried[1]]
-    schema = T.StructType([*out, T.StructField("score", T.DoubleType())])
+    schema = _scored_schema(planned, index, carried)
     arrow, dim = to_arrow_schema(schema), index.cells.dim
 
     def tile(a: pa.Table, b: pa.Table) -> pa.Table:
@@ -244,7 +282,11 @@ def probe(
     """The ``k`` nearest rows of every query among the lists of its ``probes`` nearest centroids; columns as ``knn.nearest``."""
     if probes < 1:
         raise ValueError("probes must be at least 1")
-    planned = stored(_per_query(_asked(queries, index, vector, query_columns), _first_cells(index.cells, probes), "cells", "array<long>"), "planned")
+    asked = _asked(queries, index, vector, query_columns)
+    if probes > SCAN_SHARE * index.cells.lists:
+        closed = None if probes >= index.cells.lists else _outside(index.cells, probes)
+        return _ranked(_scan(asked, index, k, query_columns, closed), index, k, query_columns)
+    planned = stored(_per_query(asked, _first_cells(index.cells, probes), "cells", "array<long>"), "planned")
     return _ranked(_visit(planned, index, k, query_columns), index, k, query_columns)
 
 
@@ -289,11 +331,20 @@ def exact(
     bounded = planned.join(kth.distinct(), "_id", "left")
     rest = _per_query(bounded, _open_cells(index.cells), "more", "array<long>")
     rest = stored(rest.drop("cells", "kth").withColumnRenamed("more", "cells"), "rest")
-    scored = first.drop("rank").unionByName(_visit(rest, index, k, query_columns))
+    wide = stored(rest.where(F.col("cells").isNull()).select("_id").distinct(), "wide")
+    if wide.isEmpty():
+        scored = first.drop("rank").unionByName(_visit(rest, index, k, query_columns))
+        compared, scans = (planned, rest), 0
+    else:
+        # All rows of such an id, its first cells included, come from the scan.
+        near = [skew_join(df, wide, "_id", "left_anti") for df in (first, planned, rest)]
+        whole = stored(skew_join(asked, wide, "_id", "left_semi"), "scanned")
+        scored = near[0].drop("rank").unionByName(_visit(near[2], index, k, query_columns)).unionByName(_scan(whole, index, k, query_columns))
+        compared, scans = near[1:], whole.count()
     sizes = index.rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
-    visits = planned.select(F.explode("cells").alias("cell")).unionByName(rest.select(F.explode("cells").alias("cell")))
-    compared = visits.groupBy("cell").agg(F.count(F.lit(1)).alias("visits")).join(sizes, "cell")
-    work = compared.agg(F.coalesce(F.sum(F.col("visits") * F.col("n")), F.lit(0)).alias("n_compared")).withColumn(
-        "n_pairs", planned.agg(F.count(F.lit(1))).scalar() * F.lit(int(index.cells.size.sum()))
-    )
+    visits = reduce(DataFrame.unionByName, (df.select(F.explode("cells").alias("cell")) for df in compared))
+    visited = visits.groupBy("cell").agg(F.count(F.lit(1)).alias("visits")).join(sizes, "cell")
+    held = int(index.cells.size.sum())
+    n_compared = F.coalesce(F.sum(F.col("visits") * F.col("n")), F.lit(0)) + F.lit(scans * held)
+    work = visited.agg(n_compared.alias("n_compared")).withColumn("n_pairs", planned.agg(F.count(F.lit(1))).scalar() * F.lit(held))
     return _ranked(scored, index, k, query_columns), work

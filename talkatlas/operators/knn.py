@@ -12,7 +12,7 @@ pair of blocks is one group of one shuffle.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -103,9 +103,9 @@ def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
 
 def _local_best(
     left: pa.Table, right: pa.Table, k: int, dim: int, metric: str, exclude: str | None, carried: tuple[list, list],
-    schema: pa.Schema,
+    schema: pa.Schema, closed: Callable[[pa.Table, pa.Table], np.ndarray] | None = None,
 ) -> pa.Table:
-    """Best ``k`` rows of ``right`` for every row of ``left``."""
+    """Best ``k`` rows of ``right`` for every row of ``left``; ``closed`` marks pairs that must not meet."""
     right = right.sort_by("_id")
     qm, cm = _matrix(left["_vector"], dim), _matrix(right["_vector"], dim)
     if metric == "cosine":
@@ -122,6 +122,8 @@ def _local_best(
             scores[row, first[row] : last[row]] = -np.inf
         if exclude is not None:
             scores[part[f"_q_{exclude}"].to_numpy()[:, None] == right[f"_c_{exclude}"].to_numpy()[None, :]] = -np.inf
+        if closed is not None:
+            scores[closed(part, right)] = -np.inf
         rows, cols, found = _best(scores, k)
         mine, theirs = part.take(pa.array(rows)), right.take(pa.array(cols))
         values = found if metric == "cosine" else -found + 0.0
@@ -225,7 +227,7 @@ def _against_broadcast(q, c, k, dim, metric, exclude, carried, schema, arrow_sch
     return c.mapInArrow(scan, schema)
 
 
-def _tiled(q, c, q_blocks, c_blocks, k, dim, metric, exclude, carried, schema, arrow_schema) -> DataFrame:
+def _tiled(q, c, q_blocks, c_blocks, k, dim, metric, exclude, carried, schema, arrow_schema, closed=None) -> DataFrame:
     """Every block of queries meets every block of candidates in a group of its own."""
     q = q.withColumn("_qb", _block_of("_id", q_blocks)).withColumn(
         "_cb", F.explode(F.sequence(F.lit(0), F.lit(c_blocks - 1)))
@@ -235,6 +237,6 @@ def _tiled(q, c, q_blocks, c_blocks, k, dim, metric, exclude, carried, schema, a
     )
 
     def tile(left: pa.Table, right: pa.Table) -> pa.Table:
-        return _local_best(left, right, k, dim, metric, exclude, carried, arrow_schema)
+        return _local_best(left, right, k, dim, metric, exclude, carried, arrow_schema, closed)
 
     return q.groupBy("_qb", "_cb").cogroup(c.groupBy("_qb", "_cb")).applyInArrow(tile, schema)

@@ -95,3 +95,23 @@ def test_nothing_to_index_and_nothing_to_ask(spark, tmp_path):
     zeros, index = indexed(spark, tmp_path / "c", rows[400:405])
     found, _ = I.exact(index, zeros, 2, vector="embedding", query_columns=("category",))
     assert as_set(found) == as_set(plain(zeros, 2))
+
+
+def test_wide_searches_meet_blocks_of_rows_and_not_cells(spark, tmp_path, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = clustered(300, copies=40) + [(5000 + i, [float(x) for x in rng.normal(size=DIM)], "a", 0, 0) for i in range(300)]
+    frame, index = indexed(spark, tmp_path, rows + rows[50:60])
+    met = []
+    monkeypatch.setattr(I, "_scan", lambda asked, *a, scan=I._scan, **b: met.append(asked.count()) or scan(asked, *a, **b))
+
+    def found(share):
+        monkeypatch.setattr(I, "SCAN_SHARE", share)
+        exact, work = I.exact(index, frame, 5, vector="embedding", query_columns=("category",))
+        probed = [I.probe(index, frame, 5, vector="embedding", probes=p, query_columns=("category",)) for p in (index.cells.lists - 2, index.cells.lists)]
+        return [sorted(map(tuple, df.select(*sorted(df.columns)).collect())) for df in (exact, *probed)], work.first()
+
+    visited, work = found(2.0)
+    assert met == []
+    scanned, more = found(0.25)
+    assert scanned == visited and len(met) == 3 and met[1:] == [610, 610] and 0 < met[0] < 610
+    assert work.n_compared <= more.n_compared <= more.n_pairs == 610 * 610
