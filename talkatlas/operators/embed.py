@@ -7,7 +7,6 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import Word2Vec
 from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
@@ -15,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from talkatlas.functions import text as TX
+from talkatlas.operators.skipgram import SHARD_BYTES, mean_vectors
 
 HASHED_CELLS = 1 << 22  # values of one batch of embeddings
 
@@ -47,23 +47,15 @@ def embed_word2vec(
 ) -> DataFrame:
     """``(row_id, embedding)``: mean of word vectors trained on the same table.
 
-    Training is spread over ``partitions`` tasks (default: the shuffle
-    partitions). ``min_count`` bounds the vocabulary, which the trainer keeps in
-    memory.
+    Training is spread over ``partitions`` shards (default: the shuffle partitions), or more where one would hold over
+    ``skipgram.SHARD_BYTES`` of text. Words that occur fewer than ``min_count`` times count as zero vectors, a NULL text is one.
     """
     spark = docs.sparkSession
-    tokenised = docs.select(row_id, TX.tokens(F.col(text)).alias("_tokens"))
-    trainer = Word2Vec(
-        vectorSize=dim,
-        seed=seed,
-        minCount=min_count,
-        numPartitions=partitions or int(spark.conf.get("spark.sql.shuffle.partitions")),
-        maxIter=max_iter,
-        inputCol="_tokens",
-        outputCol="_vector",
+    held = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
+    shards = max(partitions or int(spark.conf.get("spark.sql.shuffle.partitions")), -(-held // SHARD_BYTES))
+    return mean_vectors(
+        docs, row_id, TX.tokens(F.col(text)), dim=dim, seed=seed, min_count=min_count, partitions=shards, max_iter=max_iter
     )
-    model = trainer.fit(tokenised)
-    return model.transform(tokenised).select(row_id, vector_to_array("_vector", "float32").alias("embedding"))
 
 
 def _hashed(dim: int) -> Callable:
