@@ -142,6 +142,14 @@ def test_features_fit_on_train_or_all(spark):
     assert X.create_tfidf(separable(spark)).columns == ["category", "summary", "tfidf"]
 
 
+def test_words_are_counted_and_written_once(spark, monkeypatch):
+    written, plain = [], C.cut
+    monkeypatch.setattr(C, "cut", lambda df: written.append(df.columns) or plain(df))
+    train, test = C.prepare(separable(spark), "id", "summary", "category", folds=2)
+    assert written == [["id", "label", "fold", "tf"]]
+    assert train.columns == test.columns == ["id", "label", "fold", "tfidf", "tf"]
+
+
 def test_hashed_embeddings_keep_every_word(spark):
     rows = [(1, "apple pear apple"), (2, "apple pear apple zyzzyva"), (3, "Apple, PEAR; apple!"), (4, ""), (5, None), (6, "... !!")]
     docs = spark.createDataFrame(rows, "id long, s string")
